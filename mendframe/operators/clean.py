@@ -45,7 +45,7 @@ def row_cap(df: DataFrame, n: int, key: str, then: Sequence[str] = ()) -> DataFr
     if n > SMALL_CAP:
         size = df.agg(F.count(quoted(key))).first()[0]
         if n < size:
-            last = order_statistics(df, {key: [n - 1]}, {key: size})[(key, n - 1)]
+            last = order_statistics(df, {key: quoted(key)}, {key: [n - 1]}, {key: size})[(key, n - 1)]
             df = df.filter(quoted(key) <= F.lit(last))
     return df.orderBy(*order).limit(n)
 

@@ -22,9 +22,10 @@ SKETCH_ACCURACY = 10_000
 
 @dataclass(frozen=True)
 class Bracket:
-    """Open interval of a column that holds the rows ranked `below` to `below + inside - 1`."""
+    """Open interval of a series that holds the rows ranked `below` to `below + inside - 1`."""
 
-    column: str
+    name: str
+    series: Column
     below: int
     inside: int
     low: object = None
@@ -32,34 +33,35 @@ class Bracket:
     ranks: tuple[int, ...] = field(default=())
 
     def rows(self) -> Column:
-        c = quoted(self.column)
-        condition = c.isNotNull()
+        condition = self.series.isNotNull()
         if self.low is not None:
-            condition &= c > F.lit(self.low)
+            condition &= self.series > F.lit(self.low)
         if self.high is not None:
-            condition &= c < F.lit(self.high)
+            condition &= self.series < F.lit(self.high)
         return condition
 
     def values(self) -> Column:
-        return F.when(self.rows(), quoted(self.column))
+        return F.when(self.rows(), self.series)
 
 
 def order_statistics(
     df: DataFrame,
+    series: Mapping[str, Column],
     ranks: Mapping[str, Sequence[int]],
     sizes: Mapping[str, int],
     max_bracket_rows: int = MAX_BRACKET_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> dict[tuple[str, int], object]:
-    """Values at 0-based ranks of the non-null values of numeric columns of one type.
+    """Values at 0-based ranks of the non-null values of numeric series of one type.
 
-    `sizes` holds the number of non-null values per column. Runs a few jobs; the driver receives
-    only sketch points, counts and the answers.
+    A series is a column or an expression over the row; `sizes` holds its number of non-null values.
+    All series share each scan. Runs a few jobs; the driver receives only sketch points, counts and
+    the answers.
     """
     found: dict[tuple[str, int], object] = {}
     todo = [
-        Bracket(c, 0, sizes[c], ranks=tuple(sorted({r for r in wanted if 0 <= r < sizes[c]})))
-        for c, wanted in ranks.items()
+        Bracket(name, c, 0, sizes[name], ranks=tuple(sorted({r for r in ranks[name] if 0 <= r < sizes[name]})))
+        for name, c in series.items()
     ]
     todo = [b for b in todo if b.ranks]
     small = [b for b in todo if b.inside <= max_bracket_rows]
@@ -100,13 +102,13 @@ def _narrow(df, brackets, found, accuracy):
         if rank < under_low:
             narrowed.append(replace(b, inside=under_low, high=low))
         elif rank < upto_low:
-            found[(b.column, b.ranks[0])] = low
+            found[(b.name, b.ranks[0])] = low
         elif rank < under_high:
             narrowed.append(
                 replace(b, below=b.below + upto_low, inside=under_high - upto_low, low=low, high=high)
             )
         elif rank < upto_high:
-            found[(b.column, b.ranks[0])] = high
+            found[(b.name, b.ranks[0])] = high
         else:
             narrowed.append(replace(b, below=b.below + upto_high, inside=b.inside - upto_high, low=high))
     return narrowed
@@ -141,7 +143,7 @@ def _count_within(df, brackets, found):
         b = brackets[row["bracket"]]
         for rank in b.ranks:
             if row["upto"] - row["n"] <= rank - b.below < row["upto"]:
-                found[(b.column, rank)] = row["value"]
+                found[(b.name, rank)] = row["value"]
 
 
 def exact_quantiles(
@@ -149,27 +151,32 @@ def exact_quantiles(
     probabilities: Mapping[str, Sequence[float]],
     sizes: Mapping[str, int] | None = None,
     max_bracket_rows: int = MAX_BRACKET_ROWS,
+    series: Mapping[str, Column] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation between neighbouring ranks, NULLs left out."""
+    """Quantiles with linear interpolation between neighbouring ranks, NULLs left out.
+
+    Names are columns unless `series` gives an expression for each.
+    """
     if not probabilities:
         return {}
-    columns = list(probabilities)
-    values = df.select(*[quoted(c).cast("double").alias(c) for c in columns])
+    values = {
+        name: (series[name] if series else quoted(name)).cast("double") for name in probabilities
+    }
     if sizes is None:
-        sizes = values.agg(*[F.count(quoted(c)).alias(c) for c in columns]).first().asDict()
+        sizes = df.agg(*[F.count(c).alias(name) for name, c in values.items()]).first().asDict()
     ranks = {}
-    for c in columns:
-        positions = [(sizes[c] - 1) * p for p in probabilities[c]] if sizes[c] else []
-        ranks[c] = [r for h in positions for r in (math.floor(h), math.ceil(h))]
-    at = order_statistics(values, ranks, sizes, max_bracket_rows)
+    for name, wanted in probabilities.items():
+        positions = [(sizes[name] - 1) * p for p in wanted] if sizes[name] else []
+        ranks[name] = [r for h in positions for r in (math.floor(h), math.ceil(h))]
+    at = order_statistics(df, values, ranks, sizes, max_bracket_rows)
     result: dict[str, list[float | None]] = {}
-    for c in columns:
-        result[c] = []
-        for p in probabilities[c]:
-            if not sizes[c]:
-                result[c].append(None)
+    for name, wanted in probabilities.items():
+        result[name] = []
+        for p in wanted:
+            if not sizes[name]:
+                result[name].append(None)
                 continue
-            h = (sizes[c] - 1) * p
-            low, high = at[(c, math.floor(h))], at[(c, math.ceil(h))]
-            result[c].append(low + (high - low) * (h - math.floor(h)))
+            h = (sizes[name] - 1) * p
+            low, high = at[(name, math.floor(h))], at[(name, math.ceil(h))]
+            result[name].append(low + (high - low) * (h - math.floor(h)))
     return result
