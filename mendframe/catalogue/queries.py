@@ -21,7 +21,7 @@ from mendframe.operators import clean, duplicates, encoding, enrich, evaluate, h
 from mendframe.plans import cleaning, full_run, imputation, neighbourhoods
 from mendframe.plans.profiling import profile_table
 from mendframe.roles import PROPERTY_ROLES, PROPERTY_SCHEMA
-from mendframe.session import shared_checkpoint_dir
+from mendframe.session import materialized, shared_checkpoint_dir
 from mendframe.sources import readers, sample, writers
 from mendframe.streaming import monitor
 
@@ -165,7 +165,12 @@ def skew_kurtosis(spark, sf_dir):
 
 @query
 def profile_report(spark, sf_dir):
-    return profile_table(property_table(spark, sf_dir), "properties", cache=False).report()
+    return profile_table(property_table(spark, sf_dir), "properties").report()
+
+
+@query
+def profile_metrics(spark, sf_dir):
+    return rounded(profile_table(property_table(spark, sf_dir), "properties").metrics())
 
 
 # --- cleaning --------------------------------------------------------------------------------
@@ -284,6 +289,11 @@ def cleaning_audit(spark, sf_dir):
     return cleaning.cleaning_audit(property_table(spark, sf_dir), ROLES)
 
 
+@query
+def cleaning_report(spark, sf_dir):
+    return rounded(cleaning.clean_with_audit(property_table(spark, sf_dir), ROLES).audit)
+
+
 @query
 def clean_chain(spark, sf_dir):
     return cleaned_properties(spark, sf_dir)
@@ -344,26 +354,26 @@ def completeness_by_column(spark, sf_dir):
     return rounded(health.completeness_by_column(cleaned_properties(spark, sf_dir)))
 
 
-def baseline_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.group_mean_imputation(
-        cleaned_properties(spark, sf_dir), "area_construida", "barrio_nombre", "area_construida_imputada"
-    )
+def stored_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned rows written once, for queries that scan them several times."""
+    return materialized(cleaned_properties(spark, sf_dir), "cleaned")
+
+
+def baseline_filled(cleaned: DataFrame) -> DataFrame:
+    return models.group_mean_imputation(cleaned, "area_construida", "barrio_nombre", "area_construida_imputada")
 
 
 @query
 def stage_comparison(spark, sf_dir):
+    cleaned = stored_properties(spark, sf_dir)
     return health.stage_comparison(
-        {
-            "original": property_table(spark, sf_dir),
-            "cleaned": cleaned_properties(spark, sf_dir),
-            "imputed": baseline_filled(spark, sf_dir),
-        }
+        {"original": property_table(spark, sf_dir), "cleaned": cleaned, "imputed": baseline_filled(cleaned)}
     )
 
 
 @query
 def imputation_counts(spark, sf_dir):
-    return health.imputation_counts(baseline_filled(spark, sf_dir))
+    return health.imputation_counts(baseline_filled(stored_properties(spark, sf_dir)))
 
 
 @query
@@ -732,12 +742,12 @@ def model_select(spark, sf_dir):
 
 @query
 def baseline_impute(spark, sf_dir):
-    filled = baseline_filled(spark, sf_dir)
+    filled = baseline_filled(stored_properties(spark, sf_dir))
     return rounded(filled.select("id_predio", "barrio_nombre", "area_construida", "area_construida_imputada"))
 
 
 def _trained(spark: SparkSession, sf_dir: str, position: int, candidates: tuple[str, ...]):
-    cleaned = cleaned_properties(spark, sf_dir)
+    cleaned = stored_properties(spark, sf_dir)
     settings = models.Settings(**{**SMALL_MODELS.__dict__, "candidates": candidates})
     return cleaned, models.train(cleaned, ROLES.targets[position], ROLES.key, settings)
 
@@ -775,7 +785,7 @@ def impute_confidence(spark, sf_dir):
 @query
 def impute_chain(spark, sf_dir):
     settings = models.Settings(**{**SMALL_MODELS.__dict__, "candidates": ("RandomForest", "Ridge"), "folds": 2})
-    return imputation.train_and_impute(cleaned_properties(spark, sf_dir), ROLES, settings).data
+    return imputation.train_and_impute(stored_properties(spark, sf_dir), ROLES, settings).data
 
 
 @query

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mendframe.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -12,7 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def property_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven-column fact table over lineitem and part; one scan and one join, copies by explode."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_returnflag", "l_linestatus",
+        )
+    )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey)
     no_building = F.col("l_partkey") % 24 == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendframe.functions.columns import groupable, quoted
@@ -103,32 +103,21 @@ def _same_key(keys: Sequence[str]) -> Column:
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per non-null key: the first under `order`, a list of `column` or `-numeric column`.
+    """One row per non-null key: the first under `order`, a list of `column` or `-column` (descending).
 
     NULLs sort last, and the columns not named break ties, so the choice does not depend on
-    partitioning. Written as an aggregate of a struct: copies of a hot key shrink to one row per
-    task before the shuffle, which a window over the key cannot do.
+    partitioning. The filter on the row number becomes a group limit inside each task before the
+    shuffle, so a hot key arrives as one row per task.
     """
-    fields: list[Column] = []
-    named = []
-    for item in order:
-        descending, name = item.startswith("-"), item.lstrip("-")
-        named.append(name)
-        value = -quoted(name) if descending else quoted(name)
-        fields += [quoted(name).isNull(), value]
-    for name in df.columns:
-        if name != key and name not in named:
-            fields += [quoted(name).isNull(), quoted(name)]
-    ranking = F.struct(*[f.alias(f"f{i}") for i, f in enumerate(fields)])
-    payload = F.struct(*[quoted(c) for c in df.columns if c != key])
-    first = (
-        df.filter(quoted(key).isNotNull())
-        .groupBy(quoted(key).alias(key))
-        .agg(F.min(F.struct(ranking.alias("ranking"), payload.alias("row"))).alias("first"))
-    )
-    return first.select(
-        *[quoted(c) if c == key else F.col("first.row").getField(c).alias(c) for c in df.columns]
-    )
+    named = [item.lstrip("-") for item in order]
+    ranking = [
+        quoted(name).desc_nulls_last() if item.startswith("-") else quoted(name).asc_nulls_last()
+        for item, name in zip(order, named, strict=True)
+    ]
+    ranking += [quoted(c).asc_nulls_last() for c in df.columns if c != key and c not in named]
+    position = F.row_number().over(Window.partitionBy(quoted(key)).orderBy(*ranking))
+    present = df.filter(quoted(key).isNotNull())
+    return present.withColumn("_position", position).filter(F.col("_position") == 1).drop("_position")
 
 
 def key_audit(df: DataFrame, key: str) -> DataFrame:

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from mendframe.functions.columns import quoted
 
 MAX_BRACKET_ROWS = 2_000_000
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 4_000
+SKETCH_GROUPS = 512
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Bracket:
     """Open interval of a series that holds the rows ranked `below` to `below + inside - 1`."""
 
@@ -67,22 +68,21 @@ def order_statistics(
     small = [b for b in todo if b.inside <= max_bracket_rows]
     large = [replace(b, ranks=(r,)) for b in todo if b.inside > max_bracket_rows for r in b.ranks]
     while large:
+        before = {(b.name, b.ranks): b.inside for b in large}
         narrowed = _narrow(df, large, found, accuracy)
-        small += [b for b in narrowed if b.inside <= max_bracket_rows]
-        large = [b for b in narrowed if b.inside > max_bracket_rows]
+        # where the sketch cannot tell the values apart, counting them settles it
+        large = [b for b in narrowed if max_bracket_rows < b.inside <= before[(b.name, b.ranks)] // 2]
+        small += [b for b in narrowed if b not in large]
     _count_within(df, small, found)
     return found
 
 
 def _narrow(df, brackets, found, accuracy):
-    """One sketch pass and one counting pass; answers that fall on a sketch point are recorded."""
-    sketches = []
-    for i, b in enumerate(brackets):
-        rank = b.ranks[0] - b.below
-        margin = 2.0 / accuracy
-        points = [max(rank / b.inside - margin, 0.0), min((rank + 1) / b.inside + margin, 1.0)]
-        sketches.append(F.percentile_approx(b.values(), points, accuracy).alias(f"s{i}"))
-    points = df.agg(*sketches).first()
+    """One sketch pass and one counting pass; answers that fall on a sketch point are recorded.
+
+    The counts decide, so a poor sketch costs another pass and never a wrong answer.
+    """
+    points = _sketch_points(df, brackets, accuracy)
     counts = []
     for i, b in enumerate(brackets):
         low, high = points[i]
@@ -114,6 +114,51 @@ def _narrow(df, brackets, found, accuracy):
     return narrowed
 
 
+def _sketch_points(df, brackets, accuracy):
+    """Low and high value around the wanted rank of each bracket.
+
+    Sketches are merged in groups of input partitions, each group hands on evenly spaced points with
+    their weight, and the points are combined: no task receives the sketches of the whole table.
+    """
+    steps = max(accuracy // 4, 2)
+    spaced = [(k + 0.5) / steps for k in range(steps)]
+    values = [b.values().alias(f"v{i}") for i, b in enumerate(brackets)]
+    grouped = df.select(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"), *values)
+    sketches = grouped.groupBy("part").agg(
+        *[F.count(f"v{i}").alias(f"n{i}") for i, _ in enumerate(brackets)],
+        *[F.percentile_approx(f"v{i}", spaced, accuracy).alias(f"s{i}") for i, _ in enumerate(brackets)],
+    )
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("bracket"),
+                F.ceil(F.col(f"n{i}") / steps).alias("weight"),
+                F.col(f"s{i}").alias("points"),
+            )
+            for i, _ in enumerate(brackets)
+        ]
+    )
+    points = sketches.select(F.inline(entries)).select("bracket", "weight", F.explode("points").alias("point"))
+    by_value = points.groupBy("bracket", "point").agg(F.sum("weight").alias("weight"))
+    ordered = Window.partitionBy("bracket").orderBy("point").rowsBetween(Window.unboundedPreceding, 0)
+    running = by_value.withColumn("upto", F.sum("weight").over(ordered)).withColumn(
+        "share", F.col("upto") / F.sum("weight").over(Window.partitionBy("bracket"))
+    )
+    bounds = []
+    for i, b in enumerate(brackets):
+        share, margin = (b.ranks[0] - b.below) / b.inside, 2.0 / steps
+        own = F.col("bracket") == i
+        # the points on both sides of the rank, or the outermost ones
+        lowest = F.max(F.when(own & (F.col("share") <= share - margin), F.col("point")))
+        highest = F.min(F.when(own & (F.col("share") >= share + margin), F.col("point")))
+        bounds += [
+            F.coalesce(lowest, F.min(F.when(own, F.col("point")))).alias(f"low{i}"),
+            F.coalesce(highest, F.max(F.when(own, F.col("point")))).alias(f"high{i}"),
+        ]
+    row = running.agg(*bounds).first()
+    return [(row[f"low{i}"], row[f"high{i}"]) for i, _ in enumerate(brackets)]
+
+
 def _count_within(df, brackets, found):
     """Count the distinct values of each bracket and read the wanted ranks off the running totals."""
     if not brackets:

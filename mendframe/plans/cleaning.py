@@ -6,11 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mendframe.functions.columns import melt, quoted
 from mendframe.operators import clean
 from mendframe.operators.duplicates import ROWS, _total, keep_first, row_groups
 from mendframe.roles import PROPERTY_ROLES, PROPERTY_SCHEMA, Roles
+from mendframe.session import materialized
 
 
 @dataclass(frozen=True)
@@ -35,8 +37,13 @@ def clean_table(df: DataFrame, roles: Roles = PROPERTY_ROLES, blank_as_null: boo
         unique = keep_first(typed, roles.key, [o for o in roles.order if o.lstrip("-") in df.columns])
     else:
         unique = typed.dropDuplicates()
+    return finish(unique, roles, blank_as_null)
+
+
+def finish(unique: DataFrame, roles: Roles, blank_as_null: bool = False) -> DataFrame:
+    """The row-wise steps after deduplication."""
     repaired = clean.repair_numbers(unique, roles)
-    texts = [c for c in roles.texts if c in df.columns]
+    texts = [c for c in roles.texts if c in unique.columns]
     standard = clean.standardize_categories(repaired, texts, roles.folded_texts, blank_as_null)
     return clean.add_derived(standard, roles)
 
@@ -78,9 +85,11 @@ def cleaning_audit(df: DataFrame, roles: Roles = PROPERTY_ROLES) -> DataFrame:
     )
 
 
-def clean_with_audit(df: DataFrame, roles: Roles = PROPERTY_ROLES, expected=PROPERTY_SCHEMA) -> Cleaned:
-    typed = clean.coerce_types(df, roles.texts, roles.numbers)
-    unique = keep_first(typed, roles.key, roles.order)
+def clean_with_audit(
+    df: DataFrame, roles: Roles = PROPERTY_ROLES, expected: T.StructType = PROPERTY_SCHEMA
+) -> Cleaned:
+    """The chain with all its counts. The rows left after the key step are written once for them."""
+    unique = materialized(keep_first(clean.coerce_types(df, roles.texts, roles.numbers), roles.key, roles.order))
     rules = clean.number_rule_counts(unique, roles).select(
         F.lit("numbers").alias("section"),
         F.concat_ws(" ", "column", "rule").alias("metric"),
@@ -98,7 +107,7 @@ def clean_with_audit(df: DataFrame, roles: Roles = PROPERTY_ROLES, expected=PROP
             for name in ("distinct_before", "distinct_after")
         ],
     )
-    data = clean_table(df, roles)
+    data = finish(unique, roles)
     summary = clean.cleaning_summary(df, data)
     totals = melt(
         summary,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,7 +41,19 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives lost executors and later plans start from it."""
-    shared_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialized(df: DataFrame, name: str = "stage") -> DataFrame:
+    """The rows written once as a table in the shared folder and read back.
+
+    Later plans start from the files: they survive lost executors and read only the columns they
+    need, and the upstream plan runs once however many scans follow.
+    """
+    spark = df.sparkSession
+    path = f"{shared_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance an input that has fewer splits than there are cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
