@@ -19,14 +19,15 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def feature_lines(df: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """One GeoJSON feature per row as text; geometry text is embedded as it is."""
+    """One GeoJSON feature per row as text; geometry text is embedded, on the same line."""
+    shape = F.translate(quoted(geometry), "\r\n", "  ")
     properties = F.to_json(F.struct(*[quoted(c) for c in df.columns if c != geometry]))
     return df.select(
         F.concat(
             F.lit('{"type":"Feature","properties":'),
             properties,
             F.lit(',"geometry":'),
-            F.coalesce(quoted(geometry), F.lit("null")),
+            F.coalesce(shape, F.lit("null")),
             F.lit("}"),
         ).alias("value")
     )
