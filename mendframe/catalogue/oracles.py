@@ -391,6 +391,31 @@ FROM properties, (SELECT AVG({c}) AS m FROM properties) a WHERE {c} IS NOT NULL"
         for c in NUMBERS
     )
 
+    pair = "column_a || ' ' || column_b"
+    sections = {
+        "table": ("profile_basic", "''", ["rows", "columns", "duplicate_extras", "duplicate_members"]),
+        "nulls": ("profile_nulls", '"column"', ["nulls", "null_percent", "reliability"]),
+        "numbers": (
+            "profile_numeric",
+            '"column"',
+            ["count", "mean", "median", "std", "min", "max", "q25", "q75", "zeros", "zeros_percent", "negatives",
+             "negatives_percent", "outliers", "outliers_percent", "reliability"],
+        ),
+        "categories": (
+            "profile_categorical",
+            '"column"',
+            ["count", "distinct_values", "top_count", "top_percent", "diversity", "reliability"],
+        ),
+        "null_pairs": ("null_pairs", pair, ["both_null", "percent"]),
+        "quality": ("quality_score", "''", ["completeness", "consistency", "score"]),
+    }
+    sql["profile_metrics"] = union(
+        f"SELECT '{section}' AS section, {item} AS item, '{m}' AS metric, CAST(\"{m}\" AS DOUBLE) AS value"
+        f" FROM ({sql[name]}) {section}_{i}"
+        for section, (name, item, metrics) in sections.items()
+        for i, m in enumerate(metrics)
+    )
+
     sql["rename_project"] = (
         "SELECT l_orderkey AS id_predio, l_linenumber AS estrato, l_returnflag AS barrio_nombre,"
         " l_extendedprice AS avaluo_total, l_quantity AS area_construida, l_discount AS puntaje,"
@@ -488,6 +513,38 @@ FROM properties GROUP BY 1, 2, 3"""
     sql["cleaning_audit"] = with_(PROPERTIES, TYPED, "\nd AS (SELECT DISTINCT * FROM typed)") + union(
         f"SELECT '{s}' AS section, '{m}' AS metric, CAST({v} AS DOUBLE) AS value" for (s, m), v in audit.items()
     )
+    numbers = {
+        "avaluo_total positive": "avaluo_total <= 0",
+        "puntaje in_range": f"{kept} AND (puntaje < 0 OR puntaje > 100)",
+        "area_construida non_negative": f"{kept} AND area_construida < 0",
+        "area_construida zero_marked": f"{kept} AND area_construida = 0",
+    }
+    categories = {
+        "estrato": "TRIM(estrato)",
+        "barrio_nombre": "LOWER(TRIM(barrio_nombre))",
+        "tipo_construccion": "LOWER(TRIM(tipo_construccion))",
+    }
+    summary_columns = [
+        "initial_rows", "final_rows", "removed_rows", "retention_percent", "final_columns", "final_nulls", "final_duplicates",
+    ]
+    sql["cleaning_report"] = with_(PROPERTIES, TYPED, CLEANED, "\nd AS (SELECT DISTINCT * FROM typed)") + union(
+        [
+            f"SELECT '{s}' AS section, '{m}' AS metric, CAST({v} AS DOUBLE) AS value"
+            for (s, m), v in audit.items()
+        ]
+        + [
+            f"SELECT 'numbers', '{m}', CAST(COUNT(*) FILTER (WHERE {test}) AS DOUBLE) FROM ranked WHERE rn = 1"
+            for m, test in numbers.items()
+        ]
+        + [
+            f"SELECT 'categories', '{c} {when}', CAST(COUNT(DISTINCT {e}) AS DOUBLE) FROM repaired"
+            for c, after in categories.items()
+            for when, e in (("distinct_before", c), ("distinct_after", after))
+        ]
+        + [
+            f"SELECT 'summary', '{c}', ROUND(CAST({c} AS DOUBLE), 6) FROM ({summary}) s" for c in summary_columns
+        ]
+    )
     sql["clean_chain"] = CLEAN + f"SELECT {', '.join(CLEAN_COLUMNS)} FROM cleaned"
     sql["date_standardize"] = """SELECT o_orderkey,
  CASE WHEN o_orderkey % 4 <> 3 THEN STRFTIME(o_orderdate, '%Y-%m-%d') END AS day FROM orders"""
@@ -563,9 +620,6 @@ GROUP BY 1, 2, 3, 4 HAVING COUNT(*) > 1"""
  CASE WHEN share * 2 < 80 THEN 'red' WHEN share * 2 < 95 THEN 'orange' ELSE 'green' END AS colour
 FROM (SELECT barrio_nombre, estrato, 100.0E0 * COUNT(*) FILTER (WHERE area_construida IS NOT NULL AND
   id_predio IS NOT NULL AND avaluo_total > 60000) / COUNT(*) AS share FROM properties GROUP BY 1, 2) g"""
-    summary_columns = [
-        "initial_rows", "final_rows", "removed_rows", "retention_percent", "final_columns", "final_nulls", "final_duplicates",
-    ]
     sql["run_summary"] = CLEAN + union(
         [
             f"SELECT 'profile' AS stage, '{c}' AS metric, ROUND(CAST({c} AS DOUBLE), 6) AS value"
@@ -695,6 +749,12 @@ FROM properties WHERE tipo_construccion IS NOT NULL GROUP BY 1"""
         "SELECT position, candidate, cv_mean, cv_std FROM cv ORDER BY exact DESC, position LIMIT 1"
     )
 
+    targets = ["area_construida", "puntaje", "tipo_construccion"]
+    sql["impute_contract"] = CLEAN + "SELECT id_predio, " + ", ".join(
+        [f"{c} AS kept_{c}" for c in targets]
+        + [f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {f}" for c, f in zip(targets, FLAGS, strict=True)]
+    ) + ", 1 AS whole FROM cleaned"
+
     sql["csv_roundtrip"] = "SELECT * FROM customer"
     sql["geojson_roundtrip"] = """SELECT p_name AS nombre, CAST(p_partkey AS VARCHAR) AS codigo, p_retailprice AS area,
  CAST(p_partkey AS DOUBLE) AS lon, CAST(p_size AS DOUBLE) AS lat FROM part"""

@@ -788,6 +788,26 @@ def impute_chain(spark, sf_dir):
     return imputation.train_and_impute(stored_properties(spark, sf_dir), ROLES, settings).data
 
 
+@query
+def impute_contract(spark, sf_dir):
+    """What any model must keep: present values, flags only on gaps, no gap left, bounds respected."""
+    cleaned = stored_properties(spark, sf_dir)
+    settings = models.Settings(**{**SMALL_MODELS.__dict__, "candidates": ("Ridge", "RandomForest"), "folds": 2})
+    data = imputation.train_and_impute(cleaned, ROLES, settings).data
+    kept = lambda c, flag: F.when(F.col(flag) == 0, F.col(c)).alias(f"kept_{c}")
+    whole = (
+        (F.col("area_construida") >= 0)
+        & F.col("puntaje").between(0, 100)
+        & F.col("tipo_construccion").isin("r", "a", "n", "")
+    )
+    return data.select(
+        "id_predio",
+        *[kept(t.column, t.flag) for t in ROLES.targets],
+        *ROLES.flags,
+        F.coalesce(whole, F.lit(False)).cast("int").alias("whole"),
+    )
+
+
 @query
 def four_stage_run(spark, sf_dir):
     settings = models.Settings(**{**SMALL_MODELS.__dict__, "candidates": ("RandomForest", "Ridge"), "folds": 2})
