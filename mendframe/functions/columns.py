@@ -41,13 +41,8 @@ def melt(df: DataFrame, records: Iterable[Mapping[str, Column]], keep: Sequence[
 
 def value_rows(df: DataFrame, columns: Sequence[str], cast: str | None = None) -> DataFrame:
     """Long form (column, value) of the given columns, one scan for all of them."""
-    return melt(
-        df,
-        [
-            {"column": F.lit(c), "value": quoted(c).cast(cast) if cast else quoted(c)}
-            for c in columns
-        ],
-    )
+    values = df.select(*[(quoted(c).cast(cast) if cast else quoted(c)).alias(c) for c in columns])
+    return values.unpivot([], [quoted(c) for c in columns], "column", "value")
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

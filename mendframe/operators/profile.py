@@ -13,7 +13,7 @@ from mendframe.functions.buckets import quality_state
 from mendframe.functions.columns import melt, numeric_columns, quoted, string_columns, value_rows
 from mendframe.functions.numeric import percent
 from mendframe.operators.duplicates import null_name, table_health
-from mendframe.operators.quantiles import MAX_BRACKET_ROWS, exact_quantiles
+from mendframe.operators.quantiles import MAX_RANGE_ROWS, exact_quantiles
 
 PAIRS_PER_SCAN = 300
 MASK_BITS = 62
@@ -70,10 +70,10 @@ def outlier_fences(
     df: DataFrame,
     columns: Sequence[str],
     factor: float = fixed.IQR_FACTOR,
-    max_bracket_rows: int = MAX_BRACKET_ROWS,
+    max_rows: int = MAX_RANGE_ROWS,
 ) -> dict[str, tuple[float, float]]:
     """Lower and upper fence per column from exact quartiles; columns without values are left out."""
-    quartiles = exact_quantiles(df, {c: (0.25, 0.75) for c in columns}, max_bracket_rows=max_bracket_rows)
+    quartiles = exact_quantiles(df, {c: (0.25, 0.75) for c in columns}, max_rows=max_rows)
     return {
         c: (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
         for c, (q1, q3) in quartiles.items()
@@ -86,7 +86,7 @@ def beyond_fences(c: Column, fences: tuple[float, float]) -> Column:
 
 
 def numeric_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, max_bracket_rows: int = MAX_BRACKET_ROWS
+    df: DataFrame, columns: Sequence[str] | None = None, max_rows: int = MAX_RANGE_ROWS
 ) -> DataFrame:
     """Distribution, zeros, negatives, outliers and reliability of every numeric column with values.
 
@@ -102,7 +102,8 @@ def numeric_profile(
         df,
         {c: (0.25, 0.5, 0.75) for c in columns},
         {c: statistics[c]["count"] for c in columns},
-        max_bracket_rows,
+        {c: (statistics[c]["min"], statistics[c]["max"]) for c in columns},
+        max_rows=max_rows,
     )
     fences = {
         c: (q1 - fixed.IQR_FACTOR * (q3 - q1), q3 + fixed.IQR_FACTOR * (q3 - q1))

@@ -1,48 +1,60 @@
 """Exact order statistics and linear-interpolated quantiles without gathering a column in one task.
 
-A sketch brackets the wanted rank, counts tell how many rows lie below the bracket, and the step
-repeats inside the bracket until few enough rows are left to count their distinct values. Hot values
-collapse in the partial aggregation, so a value held by a third of the rows costs one group.
+Each scan counts the values of every series in evenly spaced cells between its bounds; the cell that
+holds a wanted rank becomes the next, narrower range. Once few rows are left in a range, its distinct
+values are the cells. Counting combines on the map side, so a value held by a third of the rows
+costs one group, and what is shuffled and read back is bounded by the number of cells.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendframe.functions.columns import quoted
 
-MAX_BRACKET_ROWS = 2_000_000
-SKETCH_ACCURACY = 4_000
-SKETCH_GROUPS = 512
+MAX_RANGE_ROWS = 100_000
+CELLS = 4096
+MAX_SCANS = 40
 
 
-@dataclass(frozen=True, eq=False)
-class Bracket:
-    """Open interval of a series that holds the rows ranked `below` to `below + inside - 1`."""
+@dataclass(frozen=True)
+class Range:
+    """Values `low` to `high` of a series, ranked `below` to `below + inside - 1`."""
 
     name: str
     series: Column
+    ranks: tuple[int, ...]
     below: int
     inside: int
     low: object = None
     high: object = None
-    ranks: tuple[int, ...] = field(default=())
-
-    def rows(self) -> Column:
-        condition = self.series.isNotNull()
-        if self.low is not None:
-            condition &= self.series > F.lit(self.low)
-        if self.high is not None:
-            condition &= self.series < F.lit(self.high)
-        return condition
+    scans: int = 0
 
     def values(self) -> Column:
-        return F.when(self.rows(), self.series)
+        return self.series if self.low is None else F.when(self.holds(), self.series)
+
+    def holds(self) -> Column:
+        if self.low is None:
+            return self.series.isNotNull()
+        return self.series.between(F.lit(self.low), F.lit(self.high))
+
+    def divisible(self) -> bool:
+        """Whether evenly spaced cells can tell its values apart."""
+        width = float(self.high) - float(self.low)
+        return 0 < width < math.inf and self.scans < MAX_SCANS
+
+    def cell(self, max_rows: int, kind: str) -> Column:
+        """The value itself in a small range, else the number of its cell, which rises with the value."""
+        if self.inside <= max_rows or not self.divisible():
+            return self.values()
+        low, width = float(self.low), float(self.high) - float(self.low)
+        position = F.floor((self.values().cast("double") - F.lit(low)) / F.lit(width) * F.lit(CELLS))
+        return F.least(position, F.lit(CELLS - 1)).cast(kind)
 
 
 def order_statistics(
@@ -50,153 +62,83 @@ def order_statistics(
     series: Mapping[str, Column],
     ranks: Mapping[str, Sequence[int]],
     sizes: Mapping[str, int],
-    max_bracket_rows: int = MAX_BRACKET_ROWS,
-    accuracy: int = SKETCH_ACCURACY,
+    bounds: Mapping[str, tuple[object, object]] | None = None,
+    max_rows: int = MAX_RANGE_ROWS,
 ) -> dict[tuple[str, int], object]:
     """Values at 0-based ranks of the non-null values of numeric series of one type.
 
-    A series is a column or an expression over the row; `sizes` holds its number of non-null values.
-    All series share each scan. Runs a few jobs; the driver receives only sketch points, counts and
-    the answers.
+    A series is a column or an expression over the row; `sizes` holds its number of non-null values
+    and `bounds` its extremes, which are looked up if not given. All series share each scan.
     """
+    kept = {name: tuple(sorted({r for r in ranks[name] if 0 <= r < sizes[name]})) for name in series}
+    todo = [Range(name, c, kept[name], 0, sizes[name]) for name, c in series.items() if kept[name]]
+    unbounded = [r for r in todo if r.inside > max_rows]
+    if unbounded:
+        bounds = bounds or _extremes(df, unbounded)
+        todo = [
+            Range(r.name, r.series, r.ranks, 0, r.inside, *bounds[r.name]) if r in unbounded else r for r in todo
+        ]
     found: dict[tuple[str, int], object] = {}
-    todo = [
-        Bracket(name, c, 0, sizes[name], ranks=tuple(sorted({r for r in ranks[name] if 0 <= r < sizes[name]})))
-        for name, c in series.items()
-    ]
-    todo = [b for b in todo if b.ranks]
-    small = [b for b in todo if b.inside <= max_bracket_rows]
-    large = [replace(b, ranks=(r,)) for b in todo if b.inside > max_bracket_rows for r in b.ranks]
-    while large:
-        before = {(b.name, b.ranks): b.inside for b in large}
-        narrowed = _narrow(df, large, found, accuracy)
-        # where the sketch cannot tell the values apart, counting them settles it
-        large = [b for b in narrowed if max_bracket_rows < b.inside <= before[(b.name, b.ranks)] // 2]
-        small += [b for b in narrowed if b not in large]
-    _count_within(df, small, found)
+    while todo:
+        narrower = []
+        for r in _narrowed(df, todo, max_rows):
+            if r.low == r.high:
+                found.update({(r.name, rank): r.low for rank in r.ranks})
+            else:
+                narrower.append(r)
+        todo = narrower
     return found
 
 
-def _narrow(df, brackets, found, accuracy):
-    """One sketch pass and one counting pass; answers that fall on a sketch point are recorded.
-
-    The counts decide, so a poor sketch costs another pass and never a wrong answer.
-    """
-    points = _sketch_points(df, brackets, accuracy)
-    counts = []
-    for i, b in enumerate(brackets):
-        low, high = points[i]
-        v = b.values()
-        counts += [
-            F.count_if(v < F.lit(low)).alias(f"a{i}"),
-            F.count_if(v <= F.lit(low)).alias(f"b{i}"),
-            F.count_if(v < F.lit(high)).alias(f"c{i}"),
-            F.count_if(v <= F.lit(high)).alias(f"d{i}"),
-        ]
-    counted = df.agg(*counts).first()
-    narrowed = []
-    for i, b in enumerate(brackets):
-        low, high = points[i]
-        under_low, upto_low, under_high, upto_high = (counted[f"{x}{i}"] for x in "abcd")
-        rank = b.ranks[0] - b.below
-        if rank < under_low:
-            narrowed.append(replace(b, inside=under_low, high=low))
-        elif rank < upto_low:
-            found[(b.name, b.ranks[0])] = low
-        elif rank < under_high:
-            narrowed.append(
-                replace(b, below=b.below + upto_low, inside=under_high - upto_low, low=low, high=high)
-            )
-        elif rank < upto_high:
-            found[(b.name, b.ranks[0])] = high
-        else:
-            narrowed.append(replace(b, below=b.below + upto_high, inside=b.inside - upto_high, low=high))
-    return narrowed
-
+def _extremes(df: DataFrame, ranges: Sequence[Range]) -> dict[str, tuple[object, object]]:
+    row = df.agg(*[f(r.series) for r in ranges for f in (F.min, F.max)]).first()
+    return {r.name: (row[2 * i], row[2 * i + 1]) for i, r in enumerate(ranges)}
 
-def _sketch_points(df, brackets, accuracy):
-    """Low and high value around the wanted rank of each bracket.
 
-    Sketches are merged in groups of input partitions, each group hands on evenly spaced points with
-    their weight, and the points are combined: no task receives the sketches of the whole table.
-    """
-    steps = max(accuracy // 4, 2)
-    spaced = [(k + 0.5) / steps for k in range(steps)]
-    values = [b.values().alias(f"v{i}") for i, b in enumerate(brackets)]
-    grouped = df.select(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"), *values)
-    sketches = grouped.groupBy("part").agg(
-        *[F.count(f"v{i}").alias(f"n{i}") for i, _ in enumerate(brackets)],
-        *[F.percentile_approx(f"v{i}", spaced, accuracy).alias(f"s{i}") for i, _ in enumerate(brackets)],
-    )
+def _narrowed(df: DataFrame, ranges: Sequence[Range], max_rows: int) -> list[Range]:
+    """The cells of all ranges that hold wanted ranks, from one scan."""
+    kind = df.select(ranges[0].series).schema[0].dataType.simpleString()
     entries = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("bracket"),
-                F.ceil(F.col(f"n{i}") / steps).alias("weight"),
-                F.col(f"s{i}").alias("points"),
-            )
-            for i, _ in enumerate(brackets)
-        ]
-    )
-    points = sketches.select(F.inline(entries)).select("bracket", "weight", F.explode("points").alias("point"))
-    by_value = points.groupBy("bracket", "point").agg(F.sum("weight").alias("weight"))
-    ordered = Window.partitionBy("bracket").orderBy("point").rowsBetween(Window.unboundedPreceding, 0)
-    running = by_value.withColumn("upto", F.sum("weight").over(ordered)).withColumn(
-        "share", F.col("upto") / F.sum("weight").over(Window.partitionBy("bracket"))
-    )
-    bounds = []
-    for i, b in enumerate(brackets):
-        share, margin = (b.ranks[0] - b.below) / b.inside, 2.0 / steps
-        own = F.col("bracket") == i
-        # the points on both sides of the rank, or the outermost ones
-        lowest = F.max(F.when(own & (F.col("share") <= share - margin), F.col("point")))
-        highest = F.min(F.when(own & (F.col("share") >= share + margin), F.col("point")))
-        bounds += [
-            F.coalesce(lowest, F.min(F.when(own, F.col("point")))).alias(f"low{i}"),
-            F.coalesce(highest, F.max(F.when(own, F.col("point")))).alias(f"high{i}"),
+            F.struct(F.lit(i).alias("range"), r.values().alias("value"), r.cell(max_rows, kind).alias("cell"))
+            for i, r in enumerate(ranges)
         ]
-    row = running.agg(*bounds).first()
-    return [(row[f"low{i}"], row[f"high{i}"]) for i, _ in enumerate(brackets)]
-
-
-def _count_within(df, brackets, found):
-    """Count the distinct values of each bracket and read the wanted ranks off the running totals."""
-    if not brackets:
-        return
-    entries = F.array(
-        *[F.struct(F.lit(i).alias("bracket"), b.values().alias("value")) for i, b in enumerate(brackets)]
     )
-    in_any = brackets[0].rows()
-    for b in brackets[1:]:
-        in_any = in_any | b.rows()
-    counts = (
+    in_any = ranges[0].holds()
+    for r in ranges[1:]:
+        in_any = in_any | r.holds()
+    cells = (
         df.filter(in_any)
-        .select(F.inline(F.filter(entries, lambda e: e["value"].isNotNull())))
-        .groupBy("bracket", "value")
-        .agg(F.count("*").alias("n"))
+        .select(F.inline(entries))
+        .filter(F.col("value").isNotNull())
+        .groupBy("range", "cell")
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
-    running = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.withColumn("upto", F.sum("n").over(running))
+    running = Window.partitionBy("range").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    counted = cells.withColumn("upto", F.sum("n").over(running))
     wanted = F.lit(False)
-    for i, b in enumerate(brackets):
-        for rank in b.ranks:
-            local = rank - b.below
+    for i, r in enumerate(ranges):
+        for rank in r.ranks:
+            local = rank - r.below
             wanted = wanted | (
-                (F.col("bracket") == i) & (F.col("upto") > local) & (F.col("upto") - F.col("n") <= local)
+                (F.col("range") == i) & (F.col("upto") > local) & (F.col("upto") - F.col("n") <= local)
             )
-    for row in upto.filter(wanted).collect():
-        b = brackets[row["bracket"]]
-        for rank in b.ranks:
-            if row["upto"] - row["n"] <= rank - b.below < row["upto"]:
-                found[(b.name, rank)] = row["value"]
+    result = []
+    for row in counted.filter(wanted).collect():
+        r = ranges[row["range"]]
+        below, upto = r.below + row["upto"] - row["n"], r.below + row["upto"]
+        ranks = tuple(k for k in r.ranks if below <= k < upto)
+        result.append(Range(r.name, r.series, ranks, below, row["n"], row["low"], row["high"], r.scans + 1))
+    return result
 
 
 def exact_quantiles(
     df: DataFrame,
     probabilities: Mapping[str, Sequence[float]],
     sizes: Mapping[str, int] | None = None,
-    max_bracket_rows: int = MAX_BRACKET_ROWS,
+    bounds: Mapping[str, tuple[float, float]] | None = None,
     series: Mapping[str, Column] | None = None,
+    max_rows: int = MAX_RANGE_ROWS,
 ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation between neighbouring ranks, NULLs left out.
 
@@ -213,7 +155,7 @@ def exact_quantiles(
     for name, wanted in probabilities.items():
         positions = [(sizes[name] - 1) * p for p in wanted] if sizes[name] else []
         ranks[name] = [r for h in positions for r in (math.floor(h), math.ceil(h))]
-    at = order_statistics(df, values, ranks, sizes, max_bracket_rows)
+    at = order_statistics(df, values, ranks, sizes, bounds, max_rows)
     result: dict[str, list[float | None]] = {}
     for name, wanted in probabilities.items():
         result[name] = []

@@ -13,9 +13,9 @@ def frame(spark, values):
 
 
 @pytest.mark.parametrize(
-    ("shape", "limit"), [("uniform", 10**6), ("heavy", 40), ("hot", 40), ("two", 10), ("nulls", 10**6), ("one", 10**6)]
+    ("shape", "limit"), [("uniform", 10**6), ("heavy", 20), ("hot", 40), ("two", 10), ("nulls", 30), ("one", 10**6), ("far", 10), ("wide", 10)]
 )
-def test_quantiles_match_pandas_for_any_bracket_size(spark, shape, limit):
+def test_quantiles_match_pandas_for_any_range_size(spark, shape, limit):
     rng = np.random.default_rng(3)
     values = {
         "uniform": list(rng.uniform(-5, 5, 800)),
@@ -24,9 +24,11 @@ def test_quantiles_match_pandas_for_any_bracket_size(spark, shape, limit):
         "two": [1.0] * 333 + [2.0] * 334,
         "nulls": [None] * 50 + list(rng.normal(0, 1, 301)),
         "one": [4.5],
+        "far": [1e300, -1e300, float("inf"), *rng.normal(0, 1e-3, 200)],
+        "wide": [float(10**k) for k in range(-150, 150)],
     }[shape]
     expected = pd.Series(values, dtype="float64").dropna().quantile(PROBABILITIES).tolist()
-    got = exact_quantiles(frame(spark, values).repartition(5), {"x": PROBABILITIES}, max_bracket_rows=limit)["x"]
+    got = exact_quantiles(frame(spark, values).repartition(5), {"x": PROBABILITIES}, max_rows=limit)["x"]
     assert got == pytest.approx(expected, rel=1e-12)
 
 
@@ -37,14 +39,14 @@ def test_no_values_give_none(spark):
 def test_order_statistics_of_large_whole_numbers(spark):
     keys = [2**60 + i * 3 for i in range(500)]
     df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(3)
-    found = order_statistics(df, {"k": F.col("k")}, {"k": [0, 123, 499]}, {"k": 500}, max_bracket_rows=20)
+    found = order_statistics(df, {"k": F.col("k")}, {"k": [0, 123, 499]}, {"k": 500}, max_rows=20)
     assert [found[("k", i)] for i in (0, 123, 499)] == [keys[0], keys[123], keys[499]]
 
 
 def test_several_series_share_the_scans(spark):
     df = spark.createDataFrame([(i % 3, float(i)) for i in range(300)], "fold int, x double")
     series = {str(f): F.when(F.col("fold") != f, F.col("x")) for f in range(3)}
-    got = exact_quantiles(df, {name: [0.5] for name in series}, series=series, max_bracket_rows=30)
+    got = exact_quantiles(df, {name: [0.5] for name in series}, series=series, max_rows=30)
     for f in range(3):
         kept = [float(i) for i in range(300) if i % 3 != f]
         assert got[str(f)] == [pd.Series(kept).median()]
