@@ -283,7 +283,7 @@ def split_sql(source: str, key: str, label: str | None, test_rows: str) -> str:
 
 
 def category_cap_sql() -> str:
-    return f"""SELECT col AS "column", value, n, rank, distinct_values FROM (
+    return f"""SELECT col AS "column", value, n, rank, distinct_values > 50 AS capped FROM (
  SELECT col, value, n, ROW_NUMBER() OVER (PARTITION BY col ORDER BY n DESC, value DESC) AS rank,
   COUNT(*) OVER (PARTITION BY col) AS distinct_values
  FROM ({value_counts(['p_name', 'p_brand', 'p_type'], 'part')}) c WHERE value IS NOT NULL) x

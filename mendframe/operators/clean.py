@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from mendframe import fixed_values as fixed
 from mendframe.functions import numeric, text
 from mendframe.functions.columns import melt, quoted
-from mendframe.operators.duplicates import _total, key_audit, table_health
+from mendframe.operators.duplicates import key_audit, table_health
 from mendframe.operators.quantiles import order_statistics
 from mendframe.roles import Roles
 
@@ -176,9 +176,10 @@ def add_derived(df: DataFrame, roles: Roles) -> DataFrame:
 def cleaning_summary(initial: DataFrame, final: DataFrame) -> DataFrame:
     """Initial, final and removed rows, retention, columns, nulls and duplicates left."""
     before = initial.agg(F.count("*").alias("initial_rows"))
-    after = table_health(final)
-    # two one-row frames: the join key is a constant
-    joined = before.withColumn("_one", F.lit(1)).join(after.withColumn("_one", F.lit(1)), "_one")
+    after = table_health(final).select("rows", "columns", "null_cells", "duplicate_extras")
+    # one row each: stacked and folded into one
+    stacked = before.unionByName(after, allowMissingColumns=True)
+    joined = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     return joined.select(
         "initial_rows",
         F.col("rows").alias("final_rows"),
@@ -199,11 +200,3 @@ def key_repair_summary(df: DataFrame, key: str) -> DataFrame:
         )
     state = F.when(F.col("duplicate_members") == 0, fixed.KEY_OK).otherwise(fixed.KEY_FIXED)
     return key_audit(df, key).withColumn("state", state)
-
-
-def missing_total(df: DataFrame) -> DataFrame:
-    """Null cells of the whole table."""
-    cells = F.lit(0)
-    for c in df.columns:
-        cells = cells + numeric.flag(quoted(c).isNull())
-    return df.agg(_total(cells).alias("null_cells"))

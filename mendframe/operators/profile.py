@@ -148,17 +148,23 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5)
 
     The rank filter runs as a group limit inside each task before the ranking shuffle.
     """
-    counts = value_counts(df, columns).filter(F.col("value").isNotNull())
-    rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value")))
-    return counts.withColumn("rank", rank).filter(F.col("rank") <= k).select("column", "rank", "value", "n")
+    return _ranked(value_counts(df, columns), k)
+
+
+def _ranked(counts: DataFrame, k: int) -> DataFrame:
+    """NULLs are ranked last and dropped after, so that the counts below stay shared with other uses."""
+    value = F.col("value")
+    order = Window.partitionBy("column").orderBy(value.isNull(), F.desc("n"), value)
+    ranked = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.filter(value.isNotNull()).select("column", "rank", "value", "n")
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5) -> DataFrame:
     """Cardinality, dominant value, diversity, top values and reliability of every string column."""
     n, value = F.col("n"), F.col("value")
+    counts = value_counts(df, columns)
     totals = (
-        value_counts(df, columns)
-        .groupBy("column")
+        counts.groupBy("column")
         .agg(
             F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("count"),
             F.count("value").alias("distinct_values"),
@@ -167,7 +173,7 @@ def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None, k:
         .filter(F.col("count") > 0)
     )
     tops = (
-        top_values(df, columns, k)
+        _ranked(counts, k)
         .groupBy("column")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "value", "n"))).alias("top"))
     )

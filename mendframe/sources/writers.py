@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,9 +112,3 @@ def text_report(
 def write_text_report(lines: DataFrame, path: str) -> None:
     """The report in one file: a few lines per column."""
     lines.select("line").coalesce(1).write.mode("overwrite").text(path)
-
-
-def report_document(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Metric rows as one JSON document: a list of records ordered by their keys."""
-    records = F.array_sort(F.collect_list(F.struct(*[quoted(c) for c in (*keys, *[c for c in metrics.columns if c not in keys])])))
-    return metrics.agg(F.to_json(records).alias("value"))
