@@ -865,4 +865,5 @@ def stream_quality(spark, sf_dir):
     folder = scratch(spark, "stream")
     monitor.run_available(counted, f"{folder}/table", f"{folder}/checkpoint")
     latest = monitor.latest_windows(spark.read.parquet(f"{folder}/table"), by=["event_type"])
-    return rounded(latest.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd")))
+    start = F.to_utc_timestamp("window_start", F.current_timezone())
+    return rounded(latest.withColumn("window_start", F.date_format(start, "yyyy-MM-dd")))

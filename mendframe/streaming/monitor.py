@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mendframe.functions.columns import quoted
 from mendframe.functions.numeric import percent
@@ -26,8 +27,11 @@ def windowed_health(
     The state holds a few counters per open window and group; windows older than the lateness go.
     """
     window = F.window(quoted(time), every)
+    moment = quoted(time).cast("timestamp")
+    if isinstance(rows.schema[time].dataType, T.TimestampNTZType):
+        moment = F.from_utc_timestamp(moment, F.current_timezone())  # a time without zone counts as UTC
     counted = (
-        rows.withColumn(time, quoted(time).cast("timestamp"))
+        rows.withColumn(time, moment)
         .withWatermark(time, lateness)
         .groupBy(window.alias("window"), *[quoted(c) for c in by])
         .agg(
