@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mendframe.llm import bpe, langid, mixing, pii, simhash
+from mendframe.llm import bpe, langid, mixing, near_embeddings, ngram_lm, pii, simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_embeddings(spark, sf_dir):
+    """Near-duplicate groups of all vectors."""
+    found = near_embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 @query
 def op2_bpe(spark, sf_dir):
     """Encode and decode of every document, as digests."""
@@ -67,3 +74,10 @@ def op9_pii(spark, sf_dir):
     return found.select(
         F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans"
     )
+
+
+@query
+def op10_lm(spark, sf_dir):
+    """Scores of all documents under the model of those that are not held out."""
+    found = ngram_lm.score(table(spark, sf_dir, "documents"), ngram_lm.every_fifth())
+    return found.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
