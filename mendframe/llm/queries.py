@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mendframe.llm import bpe, langid, mixing, near_embeddings, ngram_lm, pii, simhash
+from mendframe.llm import bpe, fingerprint, langid, mixing, near_embeddings, ngram_lm, pii, simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,12 @@ def op4_simhash(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
 
 
+@query
+def op5_fingerprint(spark, sf_dir):
+    """Fingerprints of all documents and of their edited versions."""
+    return fingerprint.versions(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_mixing(spark, sf_dir):
     """Copies of every document under a target entropy, with all tokens of the table as the budget."""
