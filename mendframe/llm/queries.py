@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mendframe.llm import bpe, fingerprint, langid, mixing, near_embeddings, ngram_lm, pii, simhash
+from mendframe.llm import bpe, fingerprint, langid, licences, mixing, near_embeddings, ngram_lm, pii, simhash, token_counts
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,14 @@ def op2_bpe(spark, sf_dir):
     )
 
 
+@query
+def op3_token_counts(spark, sf_dir):
+    """Tokens of every line of all documents, each document encoded as a whole."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = token_counts.section_counts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return found.withColumnRenamed("id", "doc_id").withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
 @query
 def op4_simhash(spark, sf_dir):
     """Near-duplicate groups of all documents."""
@@ -73,6 +81,16 @@ def op7_language(spark, sf_dir):
     return found.select("doc_id", "lang", "source", "language", F.round("language_p", 6).alias("language_p"), "language_text")
 
 
+@query
+def op8_licences(spark, sf_dir):
+    """Licence notices in all documents."""
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id").withColumn("score", F.round("score", 6))
+
+
+ORACLES["op8_licences"] = licences.oracle()
+
+
 @query
 def op9_pii(spark, sf_dir):
     """Personal data of all documents."""
