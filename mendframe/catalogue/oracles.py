@@ -214,9 +214,9 @@ brands AS (
 
 NATIONS = """
 dimension AS (
- SELECT n_nationkey, '  ' || LOWER(n_name) || ' ' AS nombre FROM nation WHERE n_nationkey % 4 <> 3
+ SELECT n_nationkey, '  ' || CASE WHEN n_nationkey % 4 = 3 THEN 'x' ELSE '' END || LOWER(n_name) || ' ' AS nombre FROM nation
 ), facts AS (
- SELECT n_name, c_custkey, c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey > 1
+ SELECT n_name, c_custkey, c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey
 ), totals AS (
  SELECT UPPER(TRIM(n_name)) AS name, COUNT(c_custkey) AS fact_rows, ROUND(SUM(c_acctbal), 2) AS fact_value,
   ROUND(AVG(c_acctbal), 6) AS fact_mean_area
@@ -430,8 +430,10 @@ FROM properties, (SELECT AVG({c}) AS m FROM properties) a WHERE {c} IS NOT NULL"
         " ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice LIMIT 50000"
     )
     sql["first_rows"] = "SELECT p_name, p_partkey, p_brand FROM part ORDER BY p_name, p_partkey LIMIT 20"
-    sql["schema_check"] = union(
-        f"SELECT '{c}' AS \"column\", '{expected}' AS expected, {actual} AS actual, '{state}' AS state"
+    sql["schema_check"] = RAW + union(
+        f"SELECT '{c}' AS \"column\", '{expected}' AS expected, {actual} AS actual, '{state}' AS state, "
+        + (f"COUNT({c})" if state != "FALTANTE" else "0 * COUNT(*)")
+        + " AS present, CAST(0 AS BIGINT) AS lost FROM properties"
         for c, expected, actual, state in [
             ("id_predio", "string", "'string'", "OK"),
             ("estrato", "string", "'int'", "TIPO_INCORRECTO"),
@@ -443,8 +445,9 @@ FROM properties, (SELECT AVG({c}) AS m FROM properties) a WHERE {c} IS NOT NULL"
             ("zona", "string", "CAST(NULL AS VARCHAR)", "FALTANTE"),
         ]
     )
-    sql["type_changes"] = union(
-        f"SELECT '{c}' AS \"column\", '{before}' AS \"before\", '{after}' AS \"after\""
+    sql["type_changes"] = RAW + union(
+        f"SELECT '{c}' AS \"column\", '{before}' AS \"before\", '{after}' AS \"after\","
+        f" COUNT({c}) AS present_before, COUNT({c}) AS present_after FROM properties"
         for c, before, after in [
             ("id_predio", "string", "string"), ("estrato", "int", "string"), ("barrio_nombre", "string", "string"),
             ("avaluo_total", "double", "double"), ("area_construida", "double", "double"),
@@ -717,10 +720,11 @@ FROM enriched"""
     sql["split_stratified"] = split_sql("(SELECT p_partkey, p_type FROM part) p", "p_partkey", "p_type", "FLOOR(n * 0.2)")
     sql["fold_assign"] = f"SELECT p_partkey, CAST({digest_number(part_key, '42')} % 5 AS INTEGER) AS fold FROM part"
     scaled = ["avaluo_total", "area_construida", "puntaje"]
-    sql["median_fill_scale"] = RAW + (
-        ", medians AS (SELECT " + ", ".join(f"QUANTILE_CONT({c}, 0.5) AS m_{c}" for c in scaled) + " FROM properties),"
-        " full_ AS (SELECT id_predio, " + ", ".join(f"COALESCE({c}, m_{c}) AS {c}" for c in scaled) + " FROM properties, medians),"
-        " moments AS (SELECT " + ", ".join(f"AVG({c}) AS a_{c}, STDDEV_POP({c}) AS s_{c}" for c in scaled) + " FROM full_)"
+    # each step once: the engine would otherwise expand the steps wherever they are named
+    sql["median_fill_scale"] = RAW.replace("properties AS (", "properties AS MATERIALIZED (") + (
+        ", medians AS MATERIALIZED (SELECT " + ", ".join(f"QUANTILE_CONT({c}, 0.5) AS m_{c}" for c in scaled) + " FROM properties),"
+        " full_ AS MATERIALIZED (SELECT id_predio, " + ", ".join(f"COALESCE({c}, m_{c}) AS {c}" for c in scaled) + " FROM properties, medians),"
+        " moments AS MATERIALIZED (SELECT " + ", ".join(f"AVG({c}) AS a_{c}, STDDEV_POP({c}) AS s_{c}" for c in scaled) + " FROM full_)"
         " SELECT id_predio, " + ", ".join(f"ROUND(({c} - a_{c}) / s_{c}, 6) AS {c}" for c in scaled) + " FROM full_, moments"
     )
     sql["category_cap"] = category_cap_sql()
@@ -755,7 +759,16 @@ FROM properties WHERE tipo_construccion IS NOT NULL GROUP BY 1"""
         + [f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {f}" for c, f in zip(targets, FLAGS, strict=True)]
     ) + ", 1 AS whole FROM cleaned"
 
-    sql["csv_roundtrip"] = "SELECT * FROM customer"
+    for name, c, flag in zip(["impute_numeric", "impute_bounded", "impute_category"], targets, FLAGS, strict=True):
+        sql[name] = CLEAN + (
+            f"SELECT id_predio, {c} AS kept, CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {flag}, 1 AS whole, 1 AS best FROM cleaned"
+        )
+    sql["impute_chain"] = sql["impute_contract"]
+
+    sql["csv_roundtrip"] = """SELECT *, CASE c_custkey % 7 WHEN 0 THEN '  padded ' || c_name || chr(9) || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL
+ WHEN 3 THEN 'say "' || c_name || '", twice, "x"'
+ WHEN 4 THEN 'first line' || chr(10) || 'second ' || c_name || chr(13) || chr(10) || chr(10) || 'last'
+ WHEN 5 THEN 'back' || chr(92) || 'slash ' || chr(92) || '"' || c_name || chr(92) ELSE '# ''plain'', text' END AS note FROM customer"""
     sql["geojson_roundtrip"] = """SELECT p_name AS nombre, CAST(p_partkey AS VARCHAR) AS codigo, p_retailprice AS area,
  CAST(p_partkey AS DOUBLE) AS lon, CAST(p_size AS DOUBLE) AS lat FROM part"""
     sql["sample_generator"] = sample_sql()

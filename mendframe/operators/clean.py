@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -12,10 +13,9 @@ from mendframe import fixed_values as fixed
 from mendframe.functions import numeric, text
 from mendframe.functions.columns import melt, quoted
 from mendframe.operators.duplicates import key_audit, table_health
-from mendframe.operators.quantiles import order_statistics
 from mendframe.roles import Roles
 
-SMALL_CAP = 10_000
+CAP_SAMPLE = 10_000
 
 
 def project_renamed(df: DataFrame, names: Mapping[str, str | Sequence[str]]) -> DataFrame:
@@ -36,32 +36,52 @@ def any_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def row_cap(df: DataFrame, n: int, key: str, then: Sequence[str] = ()) -> DataFrame:
-    """The first n rows by a numeric key, ties by the further columns.
+    """The first n rows by a key of any type, ties by the further columns; NULLs last.
 
-    Beyond a small n the n-th key is found first, so that only about n rows of all partitions
-    together reach the final ordering instead of n rows of each.
+    A bounded sample of keys gives one that at least n rows do not exceed, which a count confirms, so
+    that only somewhat more than n rows of all partitions together reach the final ordering.
     """
     order = [quoted(c).asc_nulls_last() for c in (key, *then)]
-    if n > SMALL_CAP:
-        size = df.agg(F.count(quoted(key))).first()[0]
-        if n < size:
-            last = order_statistics(df, {key: quoted(key)}, {key: [n - 1]}, {key: size})[(key, n - 1)]
-            df = df.filter(quoted(key) <= F.lit(last))
+    keys = df.select(quoted(key).alias("key"))
+    rows = df.count()
+    share = min(1.0, CAP_SAMPLE / max(rows, 1))
+    sample = [r["key"] for r in keys.sample(share, seed=42).where("key IS NOT NULL").orderBy("key").collect()]
+    place = len(sample) * n / max(rows, 1)
+    while 0 < n < rows and (place := place + 3 * math.sqrt(place + 1)) < len(sample):
+        bound = F.lit(sample[int(place)])
+        if keys.where(F.col("key") <= bound).count() >= n:
+            df = df.filter(quoted(key) <= bound)
+            break
     return df.orderBy(*order).limit(n)
 
 
 def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """One row per expected column: expected type, actual type and state."""
+    """One row per expected column: expected and actual type, state, values present and those the expected type cannot hold."""
     actual = {f.name: f.dataType for f in df.schema}
-    rows = []
-    for f in expected:
+    counts, records = [], []
+    for i, f in enumerate(expected):
         if f.name not in actual:
-            state = fixed.SCHEMA_MISSING
+            state, found, present_values, lost = fixed.SCHEMA_MISSING, F.lit(None).cast("string"), F.lit(0), F.lit(0)
         else:
             state = fixed.SCHEMA_OK if actual[f.name] == f.dataType else fixed.SCHEMA_WRONG_TYPE
-        found = actual[f.name].simpleString() if f.name in actual else None
-        rows.append((f.name, f.dataType.simpleString(), found, state))
-    return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string, state string")
+            found = F.lit(actual[f.name].simpleString())
+            value = quoted(f.name)
+            counts += [
+                F.count(value).alias(f"present{i}"),
+                F.count_if(value.isNotNull() & value.try_cast(f.dataType).isNull()).alias(f"lost{i}"),
+            ]
+            present_values, lost = F.col(f"present{i}"), F.col(f"lost{i}")
+        records.append(
+            {
+                "column": F.lit(f.name),
+                "expected": F.lit(f.dataType.simpleString()),
+                "actual": found,
+                "state": F.lit(state),
+                "present": present_values.cast("bigint"),
+                "lost": lost.cast("bigint"),
+            }
+        )
+    return melt(df.agg(F.count("*").alias("rows"), *counts), records)
 
 
 def coerce_types(df: DataFrame, texts: Sequence[str], numbers: Sequence[str]) -> DataFrame:
@@ -79,11 +99,23 @@ def coerce_types(df: DataFrame, texts: Sequence[str], numbers: Sequence[str]) ->
     return df.select(*columns)
 
 
-def type_changes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Type of each column before and after standardisation."""
+def type_changes(before: DataFrame, texts: Sequence[str], numbers: Sequence[str]) -> DataFrame:
+    """Type of each column before and after `coerce_types`, values present before and after, from one scan."""
+    after = coerce_types(before, texts, numbers)
     old = {f.name: f.dataType.simpleString() for f in before.schema}
-    rows = [(f.name, old.get(f.name), f.dataType.simpleString()) for f in after.schema]
-    return before.sparkSession.createDataFrame(rows, "column string, before string, after string")
+    coerced = coerce_types(before.select("*", *[quoted(c).alias(f"before {c}") for c in before.columns]), texts, numbers)
+    counts = coerced.agg(*[F.count(quoted(name)).alias(name) for c in before.columns for name in (c, f"before {c}")])
+    records = [
+        {
+            "column": F.lit(f.name),
+            "before": F.lit(old[f.name]),
+            "after": F.lit(f.dataType.simpleString()),
+            "present_before": quoted(f"before {f.name}"),
+            "present_after": quoted(f.name),
+        }
+        for f in after.schema
+    ]
+    return melt(counts, records)
 
 
 def drop_non_positive(df: DataFrame, column: str) -> DataFrame:

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mendframe.functions.columns import groupable, quoted
 
 ROWS = "group_rows"
 HOT_SHARE = 1 / 1024
+MASK_BITS = 62
 
 
 def _total(c: Column) -> Column:
@@ -24,17 +26,40 @@ def row_groups(df: DataFrame) -> DataFrame:
     return df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count("*").alias(ROWS))
 
 
+def _row_digest(df: DataFrame) -> list[Column]:
+    """Two independent 64-bit hashes of a row; a NULL differs from any value and from a NULL next to it."""
+    parts = []
+    for f in df.schema:
+        value = quoted(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            value = value + F.lit(0.0).cast(f.dataType)  # one zero
+        parts += [value, value.isNull()]
+    return [F.xxhash64(*parts).alias("_hash"), F.xxhash64(F.lit("second"), *parts[::-1]).alias("_hash2")]
+
+
 def table_health(df: DataFrame) -> DataFrame:
     """One row: row and column counts, null cells, null cells per column, both duplicate counts.
 
-    Everything the score, summary and report operators need comes from this single scan and shuffle.
+    Everything the score, summary and report operators need comes from this single scan. Rows are
+    told apart by 128 bits of hashes, so the shuffle holds two hashes and the null pattern of a row
+    instead of its columns.
     """
-    n = F.col(ROWS)
-    nulls = [
-        F.coalesce(F.sum(F.when(quoted(c).isNull(), n)), F.lit(0)).cast("bigint").alias(null_name(c))
-        for c in df.columns
-    ]
-    counted = row_groups(df).agg(
+    plain, n = groupable(df), F.col(ROWS)
+    chunks = [df.columns[i : i + MASK_BITS] for i in range(0, len(df.columns), MASK_BITS)]
+    masks = []
+    for i, names in enumerate(chunks):
+        mask = F.lit(0).cast("bigint")
+        for bit, c in enumerate(names):
+            mask = mask + F.when(quoted(c).isNull(), F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint")
+        masks.append(mask.alias(f"_nulls{i}"))
+    hashed = plain.select(*_row_digest(plain), *masks)
+    groups = hashed.groupBy(*hashed.columns).agg(F.count("*").alias(ROWS))
+    nulls = []
+    for i, names in enumerate(chunks):
+        for bit, c in enumerate(names):
+            null = F.shiftright(f"_nulls{i}", bit).bitwiseAND(F.lit(1)) == 1
+            nulls.append(_total(F.when(null, n)).alias(null_name(c)))
+    counted = groups.agg(
         _total(n).alias("rows"),
         _total(n - 1).alias("duplicate_extras"),
         _total(F.when(n > 1, n)).alias("duplicate_members"),

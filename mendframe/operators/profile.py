@@ -13,7 +13,8 @@ from mendframe.functions.buckets import quality_state
 from mendframe.functions.columns import melt, numeric_columns, quoted, string_columns, value_rows
 from mendframe.functions.numeric import percent
 from mendframe.operators.duplicates import null_name, table_health
-from mendframe.operators.quantiles import MAX_RANGE_ROWS, exact_quantiles
+from mendframe.operators.quantiles import MAX_RANGE_ROWS, exact_quantiles, present
+from mendframe.session import temporary
 
 PAIRS_PER_SCAN = 300
 MASK_BITS = 62
@@ -44,12 +45,12 @@ def nulls_ranked(df: DataFrame) -> DataFrame:
 
 def critical_columns(df: DataFrame, above: float = fixed.CRITICAL_NULL_PERCENT) -> DataFrame:
     """Columns whose null percentage, rounded to two digits, is above the limit."""
-    return null_profile(df).filter(F.round("null_percent", 2) > above).select("column", "null_percent")
+    return null_profile(df).filter(F.bround("null_percent", 2) > above).select("column", "null_percent")
 
 
 def numeric_statistics(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
     """Scalars of each numeric column from one scan; they become literals in the later scans."""
-    values = df.select(*[quoted(c).cast("double").alias(c) for c in columns])
+    values = df.select(*[present(quoted(c)).alias(c) for c in columns])
     measures = {
         "count": F.count,
         "mean": F.avg,
@@ -90,27 +91,30 @@ def numeric_profile(
 ) -> DataFrame:
     """Distribution, zeros, negatives, outliers and reliability of every numeric column with values.
 
-    Three kinds of scans: moments, exact quartiles, outliers beyond the resulting fences. Only
-    scalars per column pass through the driver.
+    The numeric columns are stored once for the scans of moments and exact quartiles; outliers beyond
+    the resulting fences are counted from the input. Only scalars per column pass through the driver.
+    NaN counts as NULL.
     """
     columns = list(columns if columns is not None else numeric_columns(df))
-    statistics = numeric_statistics(df, columns) if columns else {}
-    columns = [c for c in columns if statistics[c]["count"]]
     if not columns:
         return df.sparkSession.createDataFrame([], NUMERIC_PROFILE_SCHEMA)
-    quartiles = exact_quantiles(
-        df,
-        {c: (0.25, 0.5, 0.75) for c in columns},
-        {c: statistics[c]["count"] for c in columns},
-        {c: (statistics[c]["min"], statistics[c]["max"]) for c in columns},
-        max_rows=max_rows,
-    )
+    with temporary(df.select(*[quoted(c) for c in columns]), "numbers") as numbers:
+        statistics = numeric_statistics(numbers, columns)
+        columns = [c for c in columns if statistics[c]["count"]]
+        quartiles = exact_quantiles(
+            numbers,
+            {c: (0.25, 0.5, 0.75) for c in columns},
+            {c: statistics[c]["count"] for c in columns},
+            max_rows=max_rows,
+        )
+    if not columns:
+        return df.sparkSession.createDataFrame([], NUMERIC_PROFILE_SCHEMA)
     fences = {
         c: (q1 - fixed.IQR_FACTOR * (q3 - q1), q3 + fixed.IQR_FACTOR * (q3 - q1))
         for c, (q1, _, q3) in quartiles.items()
     }
     outliers = df.agg(
-        *[F.count_if(beyond_fences(quoted(c).cast("double"), fences[c])).alias(c) for c in columns]
+        *[F.count_if(beyond_fences(present(quoted(c)), fences[c])).alias(c) for c in columns]
     )
     records = []
     for c in columns:

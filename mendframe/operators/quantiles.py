@@ -1,16 +1,17 @@
 """Exact order statistics and linear-interpolated quantiles without gathering a column in one task.
 
-Each scan counts the values of every series in evenly spaced cells between its bounds; the cell that
-holds a wanted rank becomes the next, narrower range. Once few rows are left in a range, its distinct
-values are the cells. Counting combines on the map side, so a value held by a third of the rows
-costs one group, and what is shuffled and read back is bounded by the number of cells.
+A round brackets every wanted rank between two values by approximate percentiles (one scan) and counts
+the rows below, at and between them (one scan). The rank then stands at one of the two values or
+between them, where only a few rows in ACCURACY are left, whatever the distribution: three rounds serve
+10^11 rows. Once few rows are left in a bracket, its distinct values are counted and ordered. Counting
+combines on the map side, so a value held by a third of the rows costs one group.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,43 +19,29 @@ from pyspark.sql import functions as F
 from mendframe.functions.columns import quoted
 
 MAX_RANGE_ROWS = 100_000
-CELLS = 4096
-MAX_SCANS = 40
+ACCURACY = 10_000
+RANGES_PER_SCAN = 100
 
 
 @dataclass(frozen=True)
 class Range:
-    """Values `low` to `high` of a series, ranked `below` to `below + inside - 1`."""
+    """The `inside` values of a series strictly between `low` and `high` (None: no bound), ranked from `below`."""
 
     name: str
-    series: Column
-    ranks: tuple[int, ...]
+    rank: int
     below: int
     inside: int
     low: object = None
     high: object = None
-    scans: int = 0
+    stuck: bool = False
 
-    def values(self) -> Column:
-        return self.series if self.low is None else F.when(self.holds(), self.series)
-
-    def holds(self) -> Column:
-        if self.low is None:
-            return self.series.isNotNull()
-        return self.series.between(F.lit(self.low), F.lit(self.high))
-
-    def divisible(self) -> bool:
-        """Whether evenly spaced cells can tell its values apart."""
-        width = float(self.high) - float(self.low)
-        return 0 < width < math.inf and self.scans < MAX_SCANS
-
-    def cell(self, max_rows: int, kind: str) -> Column:
-        """The value itself in a small range, else the number of its cell, which rises with the value."""
-        if self.inside <= max_rows or not self.divisible():
-            return self.values()
-        low, width = float(self.low), float(self.high) - float(self.low)
-        position = F.floor((self.values().cast("double") - F.lit(low)) / F.lit(width) * F.lit(CELLS))
-        return F.least(position, F.lit(CELLS - 1)).cast(kind)
+    def values(self, series: Column) -> Column:
+        held = series.isNotNull()
+        if self.low is not None:
+            held = held & (series > F.lit(self.low))
+        if self.high is not None:
+            held = held & (series < F.lit(self.high))
+        return F.when(held, series)
 
 
 def order_statistics(
@@ -62,92 +49,115 @@ def order_statistics(
     series: Mapping[str, Column],
     ranks: Mapping[str, Sequence[int]],
     sizes: Mapping[str, int],
-    bounds: Mapping[str, tuple[object, object]] | None = None,
     max_rows: int = MAX_RANGE_ROWS,
 ) -> dict[tuple[str, int], object]:
     """Values at 0-based ranks of the non-null values of numeric series of one type.
 
-    A series is a column or an expression over the row; `sizes` holds its number of non-null values
-    and `bounds` its extremes, which are looked up if not given. All series share each scan.
+    A series is a column or an expression over the row, without NaN (`present`); `sizes` holds its
+    number of non-null values. All series share each scan.
     """
-    kept = {name: tuple(sorted({r for r in ranks[name] if 0 <= r < sizes[name]})) for name in series}
-    todo = [Range(name, c, kept[name], 0, sizes[name]) for name, c in series.items() if kept[name]]
-    unbounded = [r for r in todo if r.inside > max_rows]
-    if unbounded:
-        bounds = bounds or _extremes(df, unbounded)
-        todo = [
-            Range(r.name, r.series, r.ranks, 0, r.inside, *bounds[r.name]) if r in unbounded else r for r in todo
-        ]
+    todo = [Range(name, k, 0, sizes[name]) for name in series for k in sorted(set(ranks[name])) if 0 <= k < sizes[name]]
     found: dict[tuple[str, int], object] = {}
-    while todo:
-        narrower = []
-        for r in _narrowed(df, todo, max_rows):
-            if r.low == r.high:
-                found.update({(r.name, rank): r.low for rank in r.ranks})
-            else:
-                narrower.append(r)
-        todo = narrower
+    while wide := [r for r in todo if r.inside > max_rows and not r.stuck]:
+        todo = [r for r in todo if r not in wide]
+        for at in range(0, len(wide), RANGES_PER_SCAN):
+            for r in _narrowed(df, series, wide[at : at + RANGES_PER_SCAN]):
+                if isinstance(r, Range):
+                    todo.append(r)
+                else:
+                    found[r[0]] = r[1]
+    for at in range(0, len(todo), RANGES_PER_SCAN):
+        found |= _counted(df, series, todo[at : at + RANGES_PER_SCAN])
     return found
 
 
-def _extremes(df: DataFrame, ranges: Sequence[Range]) -> dict[str, tuple[object, object]]:
-    row = df.agg(*[f(r.series) for r in ranges for f in (F.min, F.max)]).first()
-    return {r.name: (row[2 * i], row[2 * i + 1]) for i, r in enumerate(ranges)}
+def _narrowed(df: DataFrame, series: Mapping[str, Column], ranges: Sequence[Range]) -> list:
+    """For every range the narrower one that holds its rank, or its key and the value found."""
+    margin, ends = 2 / ACCURACY, []
+    for i, r in enumerate(ranges):
+        share = (r.rank - r.below) / r.inside
+        values = r.values(series[r.name])
+        low = F.percentile_approx(values, share - margin, ACCURACY) if share > margin else F.min(values)
+        high = F.percentile_approx(values, share + margin, ACCURACY) if share + margin < 1 else F.max(values)
+        ends += [low.alias(f"low{i}"), high.alias(f"high{i}")]
+    bounds = df.agg(*ends).first()
+    counts = []
+    for i, r in enumerate(ranges):
+        values, low, high = r.values(series[r.name]), F.lit(bounds[f"low{i}"]), F.lit(bounds[f"high{i}"])
+        for name, holds in {
+            "under": values < low, "low": values == low, "between": (values > low) & (values < high), "high": (values == high) & (high != low)
+        }.items():
+            counts.append(F.count_if(holds).alias(f"n {name}{i}"))
+    n = df.agg(*counts).first()
+    result = []
+    for i, r in enumerate(ranges):
+        low, high, place = bounds[f"low{i}"], bounds[f"high{i}"], r.rank - r.below
+        steps = [n[f"n {name}{i}"] for name in ("under", "low", "between", "high")]
+        steps.append(r.inside - sum(steps))
+        outcomes = [(r.low, low), None, (low, high), None, (high, r.high)]
+        before = 0
+        for j, step in enumerate(steps):
+            if place < before + step:
+                if outcomes[j] is None:
+                    result.append(((r.name, r.rank), low if j == 1 else high))
+                else:
+                    # whole numbers beyond a double's digits may not part any further: few are left then
+                    inner = replace(r, low=outcomes[j][0], high=outcomes[j][1], below=r.below + before, inside=step)
+                    result.append(replace(inner, stuck=step == r.inside))
+                break
+            before += step
+    return result
 
 
-def _narrowed(df: DataFrame, ranges: Sequence[Range], max_rows: int) -> list[Range]:
-    """The cells of all ranges that hold wanted ranks, from one scan."""
-    kind = df.select(ranges[0].series).schema[0].dataType.simpleString()
+def _counted(df: DataFrame, series: Mapping[str, Column], ranges: Sequence[Range]) -> dict[tuple[str, int], object]:
+    """The values at the ranks of ranges with few rows, from the counts of their distinct values."""
+    alike: dict[tuple, list[Range]] = {}
+    for r in ranges:
+        alike.setdefault((r.name, r.low, r.high), []).append(r)
+    groups = list(alike.values())
+    if not groups:
+        return {}
     entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("range"), r.values().alias("value"), r.cell(max_rows, kind).alias("cell"))
-            for i, r in enumerate(ranges)
-        ]
+        *[F.struct(F.lit(i).alias("range"), g[0].values(series[g[0].name]).alias("value")) for i, g in enumerate(groups)]
     )
-    in_any = ranges[0].holds()
-    for r in ranges[1:]:
-        in_any = in_any | r.holds()
     cells = (
-        df.filter(in_any)
-        .select(F.inline(entries))
-        .filter(F.col("value").isNotNull())
-        .groupBy("range", "cell")
-        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        df.select(F.inline(F.filter(entries, lambda e: e["value"].isNotNull()))).groupBy("range", "value").agg(F.count("*").alias("n"))
     )
-    running = Window.partitionBy("range").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     counted = cells.withColumn("upto", F.sum("n").over(running))
     wanted = F.lit(False)
-    for i, r in enumerate(ranges):
-        for rank in r.ranks:
-            local = rank - r.below
-            wanted = wanted | (
-                (F.col("range") == i) & (F.col("upto") > local) & (F.col("upto") - F.col("n") <= local)
-            )
-    result = []
+    for i, g in enumerate(groups):
+        for place in {r.rank - r.below for r in g}:
+            wanted = wanted | ((F.col("range") == i) & (F.col("upto") > place) & (F.col("upto") - F.col("n") <= place))
+    found = {}
     for row in counted.filter(wanted).collect():
-        r = ranges[row["range"]]
-        below, upto = r.below + row["upto"] - row["n"], r.below + row["upto"]
-        ranks = tuple(k for k in r.ranks if below <= k < upto)
-        result.append(Range(r.name, r.series, ranks, below, row["n"], row["low"], row["high"], r.scans + 1))
-    return result
+        for r in groups[row["range"]]:
+            if row["upto"] - row["n"] <= r.rank - r.below < row["upto"]:
+                found[(r.name, r.rank)] = row["value"]
+    return found
+
+
+def present(column: Column) -> Column:
+    """The value as a double, NaN as NULL; infinities stay and rank outside all other values."""
+    value = column.cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def exact_quantiles(
     df: DataFrame,
     probabilities: Mapping[str, Sequence[float]],
     sizes: Mapping[str, int] | None = None,
-    bounds: Mapping[str, tuple[float, float]] | None = None,
     series: Mapping[str, Column] | None = None,
     max_rows: int = MAX_RANGE_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation between neighbouring ranks, NULLs left out.
+    """Quantiles with linear interpolation between neighbouring ranks, NULLs and NaN left out.
 
     Names are columns unless `series` gives an expression for each.
     """
     if not probabilities:
         return {}
     values = {
-        name: (series[name] if series else quoted(name)).cast("double") for name in probabilities
+        name: present(series[name] if series else quoted(name)) for name in probabilities
     }
     if sizes is None:
         sizes = df.agg(*[F.count(c).alias(name) for name, c in values.items()]).first().asDict()
@@ -155,7 +165,7 @@ def exact_quantiles(
     for name, wanted in probabilities.items():
         positions = [(sizes[name] - 1) * p for p in wanted] if sizes[name] else []
         ranks[name] = [r for h in positions for r in (math.floor(h), math.ceil(h))]
-    at = order_statistics(df, values, ranks, sizes, bounds, max_rows)
+    at = order_statistics(df, values, ranks, sizes, max_rows)
     result: dict[str, list[float | None]] = {}
     for name, wanted in probabilities.items():
         result[name] = []
@@ -165,5 +175,5 @@ def exact_quantiles(
                 continue
             h = (sizes[name] - 1) * p
             low, high = at[(name, math.floor(h))], at[(name, math.ceil(h))]
-            result[name].append(low + (high - low) * (h - math.floor(h)))
+            result[name].append(low if low == high else low + (high - low) * (h - math.floor(h)))
     return result

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,19 @@ def materialized(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """The rows stored for the scans of a block and removed after it."""
+    spark = df.sparkSession
+    path = f"{shared_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rebalance an input that has fewer splits than there are cores; larger inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -83,9 +83,16 @@ def database_options(
     return settings
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a given schema: nothing is read twice to infer types."""
-    return nan_to_null(spark.read.schema(schema).option("header", True).csv(path))
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True) -> DataFrame:
+    """CSV with a header and a given schema: nothing is read twice to infer types.
+
+    Padding stays, "" is a blank and an empty field is NULL, doubled quotes are read as one. With
+    `line_breaks` a quoted field may hold some, and a file is one task; without, large files split.
+    """
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    # an empty field is read as this mark, which no text holds, and so told apart from a quoted blank
+    reader = spark.read.schema(schema).options(**options, nullValue="\u0001null\u0001", multiLine=line_breaks)
+    return nan_to_null(reader.csv(path))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

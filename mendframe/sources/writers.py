@@ -9,7 +9,12 @@ from mendframe.functions.columns import quoted
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header: padding stays, a blank is written as "" and NULL as nothing, quotes are doubled.
+
+    Line breaks stay inside their quotes; `read_csv` reads them back.
+    """
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "nullValue": "", "emptyValue": '""'}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

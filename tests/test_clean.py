@@ -6,8 +6,10 @@ from mendframe.catalogue.tables import property_table
 from mendframe.functions import text
 from mendframe.functions.columns import nan_to_null
 from mendframe.operators import clean, duplicates, rules
+from mendframe.operators.duplicates import table_health
 from mendframe.plans.cleaning import clean_table, clean_with_audit
 from mendframe.roles import PROPERTY_ROLES, PROPERTY_SCHEMA
+from mendframe.sources import readers, writers
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,10 +40,49 @@ def test_nulls_survive_the_text_cast(spark):
     df = spark.createDataFrame([(None, "1"), (3, None)], "a int, b string")
     typed = clean.coerce_types(df, ["a"], ["b"])
     assert sorted(map(tuple, typed.collect()), key=str) == sorted([(None, 1.0), ("3", None)], key=str)
-    changes = {r["column"]: (r["before"], r["after"]) for r in clean.type_changes(df, typed).collect()}
+    changes = {r["column"]: (r["before"], r["after"]) for r in clean.type_changes(df, ["a"], ["b"]).collect()}
     assert changes == {"a": ("int", "string"), "b": ("string", "double")}
 
 
+def test_schema_counts_values_that_the_type_cannot_hold(spark):
+    df = spark.createDataFrame([("1",), ("x",), (None,)], "n string")
+    expected = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("m", T.StringType())])
+    rows = clean.schema_check(df, expected).select("state", "present", "lost").collect()
+    assert [tuple(r) for r in rows] == [("TIPO_INCORRECTO", 2, 1), ("FALTANTE", 0, 0)]
+    changes = clean.type_changes(df, [], ["n"]).first()
+    assert (changes["present_before"], changes["present_after"]) == (2, 1)
+
+
+def test_cap_by_a_text_key_over_a_large_table(spark):
+    """120,000 rows by a text key, some NULL and many tied: the same rows as a full sort gives."""
+    key = F.when(F.col("id") % 1000 != 0, F.concat(F.lit("K"), F.pmod(F.xxhash64("id"), F.lit(40_000)).cast("string")))
+    df = spark.range(120_000).select(key.alias("k"), "id").repartition(7)
+    want = df.orderBy(F.asc_nulls_last("k"), "id")
+    for n in (0, 1, 5_000, 50_000, 119_990, 130_000):
+        got = clean.row_cap(df, n, "k", ["id"])
+        assert got.count() == min(n, 120_000)
+        assert got.exceptAll(want.limit(n)).isEmpty()
+
+
+def test_csv_keeps_padding_blanks_quotes_and_line_breaks(spark, tmp_path):
+    notes = ["  pad ", "", None, 'a "quoted, x" b', "one\ntwo\r\n\nthree", "back\\slash\\\"", "\t", '"', '""', ",", "#x", "null"]
+    df = spark.createDataFrame(list(enumerate(notes)), "k int, note string")
+    writers.write_csv(df, str(tmp_path / "csv"))
+    back = readers.read_csv(spark, str(tmp_path / "csv"), df.schema)
+    assert {r["k"]: r["note"] for r in back.collect()} == dict(enumerate(notes))
+    (tmp_path / "given.csv").write_text('k,note\n1,"say ""a, b"" now"\n2,\n3,""\n4, x \n')
+    given = readers.read_csv(spark, str(tmp_path / "given.csv"), df.schema)
+    assert {r["k"]: r["note"] for r in given.collect()} == {1: 'say "a, b" now', 2: None, 3: "", 4: " x "}
+
+
+def test_health_tells_rows_apart_by_null_place_and_value(spark):
+    rows = [(None, "a"), ("a", None), ("a", None), (None, None), ("", None), (None, "")]
+    health = table_health(spark.createDataFrame(rows, "x string, y string")).first()
+    assert (health["rows"], health["duplicate_extras"], health["duplicate_members"], health["null_cells"]) == (6, 1, 2, 7)
+    zeros = table_health(spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")).first()
+    assert zeros["duplicate_extras"] == 1
+
+
 def test_null_measure_is_kept_and_non_positive_dropped(spark):
     df = spark.createDataFrame([(1.0,), (0.0,), (-1.0,), (None,)], "v double")
     assert sorted(r["v"] or 0 for r in clean.drop_non_positive(df, "v").collect()) == [0, 1.0]
