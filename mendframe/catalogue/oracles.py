@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from mendframe import fixed_values as fixed
+
 PROPERTY_COLUMNS = [
     "id_predio", "estrato", "barrio_nombre", "avaluo_total", "area_construida", "puntaje", "tipo_construccion",
 ]
@@ -312,6 +314,30 @@ FINGERPRINT = (
 )
 
 
+def shipped_sql() -> str:
+    """The shipped lookups as literal rows, joined to the names that the parts' keys point to."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    names = [n for n, *_ in fixed.NEIGHBOURHOODS] + ["nowhere", "elsewhere", "far away"]
+    first = ", ".join(f"({quoted(n)}, {s}, {c}, {v})" for n, s, c, v in fixed.NEIGHBOURHOODS)
+    second = ", ".join(
+        f"({quoted(code)}, {s}, {int(fixed.DISTRICT_BASE_COUNT * cf)}, {int(fixed.DISTRICT_BASE_VALUE * vf)})"
+        for code, _, s, cf, vf in fixed.DISTRICTS
+    )
+    static = ", ".join(f"({quoted(n.upper())}, {lat}E0, {lon}E0, {quoted(z)})" for n, lat, lon, _, _, _, z in fixed.STATIC_NEIGHBOURHOODS)
+    pick = lambda c, default: f"CASE WHEN t1.name IS NOT NULL THEN t1.{c} WHEN t2.code IS NOT NULL THEN t2.{c} ELSE {default} END AS {c}"
+    shown = "list_aggregate(list_transform(string_split(nombre, ' '), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ')"
+    return f"""WITH t1(name, stratum, base_count, base_value) AS (VALUES {first}), t2(code, stratum, base_count, base_value) AS (VALUES {second}),
+places(name, lat, lon, zone) AS (VALUES {static}),
+p AS (
+ SELECT p_partkey, lower([{', '.join(map(quoted, names))}][CAST(p_partkey % {len(names)} + 1 AS INTEGER)]) AS nombre,
+  lpad(CAST(p_partkey % 20 + 1 AS VARCHAR), 2, '0') AS codigo FROM part
+)
+SELECT p_partkey, {shown} AS shown, {pick('stratum', fixed.DEFAULT_STRATUM)}, CAST({pick('base_count', fixed.DEFAULT_COUNT).replace(' AS base_count', '')} AS BIGINT) AS base_count,
+ CAST({pick('base_value', fixed.DEFAULT_VALUE).replace(' AS base_value', '')} AS BIGINT) AS base_value,
+ CASE WHEN t1.name IS NOT NULL THEN 1 WHEN t2.code IS NOT NULL THEN 2 ELSE 0 END AS tier, lat, lon, zone
+FROM p LEFT JOIN t1 ON upper(nombre) = t1.name LEFT JOIN t2 ON codigo = t2.code LEFT JOIN places ON upper(nombre) = places.name"""
+
+
 def build() -> dict[str, str]:
     listed = ", ".join(PROPERTY_COLUMNS)
     pairs = list(combinations(PROPERTY_COLUMNS, 2))
@@ -585,6 +611,21 @@ GROUP BY 1, 2, 3, 4 HAVING COUNT(*) > 1"""
             ("imputed", CLEAN_COLUMNS, "filled"),
         ]
     )
+    sql["outlier_change"] = CLEAN + 'SELECT b."column", b.outliers AS outliers_before, a.outliers AS outliers_after FROM (' + union(
+        numeric_row(c, "properties") for c in ("avaluo_total", "area_construida", "puntaje")
+    ) + ") b JOIN (" + union(numeric_row(c, "cleaned") for c in ("avaluo_total", "area_construida", "puntaje")) + ') a ON a."column" = b."column"'
+    runs = {"original": "1 original", "cleaned": "2 cleaned", "imputed": "3 imputed"}
+    metrics = {"rows": "rows", "nulls": "null_cells", "duplicates": "duplicate_extras"}
+    sql["quality_history"] = (
+        "SELECT *, value - previous AS change FROM (SELECT *, LAG(value) OVER (PARTITION BY metric ORDER BY run) AS previous FROM ("
+        + union(
+            f"SELECT '{metric}' AS metric, CAST({column} AS DOUBLE) AS value, CASE stage "
+            + " ".join(f"WHEN '{stage}' THEN '{run}'" for stage, run in runs.items())
+            + f" END AS run FROM ({sql['stage_comparison']}) s{column}"
+            for column, metric in metrics.items()
+        )
+        + ") m) t"
+    )
     sql["imputation_counts"] = BASELINE + union(
         f"SELECT '{f.removesuffix('_imputada').removesuffix('_imputado')}' AS \"column\","
         f" CAST(SUM({f}) AS BIGINT) AS imputed FROM filled"
@@ -652,6 +693,23 @@ FROM (SELECT STRFTIME(ts, '%Y-%m-%d') AS run, event_type AS metric, ROUND(AVG(va
  {r('0.4E0 * completeness + 0.3E0 * consistency + 0.2E0 * validity + 0.1E0 * format')} AS score FROM ({parts_sql}) p"""
 
     sql["lookup_two_tier"] = with_(FEATURES) + "SELECT id, stratum, base_count, base_value, tier FROM found"
+    sql["shipped_lookup"] = shipped_sql()
+    sql["near_spellings"] = """WITH RECURSIVE brands AS (
+ SELECT p_type, CASE p_partkey % 6 WHEN 0 THEN substr(p_brand, 1, 3) || 'e' || substr(p_brand, 5) WHEN 1 THEN p_brand || 'x'
+  WHEN 2 THEN substr(p_brand, 2) ELSE p_brand END AS value FROM part
+), counts AS (SELECT p_type, value, COUNT(*) AS rows FROM brands GROUP BY 1, 2),
+links AS (
+ SELECT a.p_type, a.value, b.value AS other FROM counts a JOIN counts b
+ ON a.p_type = b.p_type AND a.value <> b.value AND levenshtein(a.value, b.value) <= 1
+), reach AS (
+ SELECT p_type, value, value AS root FROM (SELECT DISTINCT p_type, value FROM links) v
+ UNION SELECT links.p_type, links.value, reach.root FROM links JOIN reach ON links.p_type = reach.p_type AND links.other = reach.value
+)
+SELECT reach.p_type, reach.value, rows, MIN(root) AS "group" FROM reach JOIN counts
+ ON counts.p_type = reach.p_type AND counts.value = reach.value GROUP BY 1, 2, 3"""
+    sql["critical_columns_default"] = """SELECT * FROM (
+ SELECT 'l_tax' AS "column", ROUND(100.0E0 * COUNT(*) FILTER (WHERE l_partkey % 3 = 0) / COUNT(*), 6) AS null_percent FROM lineitem
+ UNION ALL SELECT 'l_discount', ROUND(100.0E0 * COUNT(*) FILTER (WHERE l_partkey % 7 = 0) / COUNT(*), 6) FROM lineitem) c WHERE null_percent > 20"""
     sql["neighbourhood_enrich"] = with_(FEATURES) + (
         "SELECT id, nombre, stratum, base_count, base_value, tier, ROUND(area, 6) AS area, row_count, total_value,"
         " average_value, ROUND(density, 6) AS density, prestige, score FROM enriched"

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mendframe.catalogue.tables import property_table, table
+from mendframe import fixed_values as fixed
 from mendframe.functions import buckets
 from mendframe.functions.columns import quoted
 from mendframe.functions.numeric import percent
+from mendframe.functions.text import title
 from mendframe.operators import clean, duplicates, encoding, enrich, evaluate, health, models, profile, rules, splits
 from mendframe.plans import cleaning, full_run, imputation, neighbourhoods
 from mendframe.plans.profiling import profile_table
@@ -371,6 +373,24 @@ def stage_comparison(spark, sf_dir):
     )
 
 
+@query
+def outlier_change(spark, sf_dir):
+    raw = property_table(spark, sf_dir)
+    return health.outlier_change(raw, stored_properties(spark, sf_dir), ["avaluo_total", "area_construida", "puntaje"])
+
+
+@query
+def quality_history(spark, sf_dir):
+    """Health of three stages written as the runs of a history, read back, each against the run before."""
+    cleaned = stored_properties(spark, sf_dir)
+    stages = {"1 original": property_table(spark, sf_dir), "2 cleaned": cleaned, "3 imputed": baseline_filled(cleaned)}
+    folder = scratch(spark, "history")
+    for run, df in stages.items():
+        counts = health.table_health(df).select("rows", "null_cells", "duplicate_extras")
+        writers.write_metrics(health.run_summary({run: counts}).drop("stage"), folder, run=run)
+    return rounded(health.quality_trend(readers.read_metrics(spark, folder)))
+
+
 @query
 def imputation_counts(spark, sf_dir):
     return health.imputation_counts(baseline_filled(stored_properties(spark, sf_dir)))
@@ -505,6 +525,50 @@ def lookup_two_tier(spark, sf_dir):
     return found.select("id", "stratum", "base_count", "base_value", "tier")
 
 
+@query
+def shipped_lookup(spark, sf_dir):
+    """The shipped lookup tables, met by names and district codes that the parts' keys point to."""
+    names = [n for n, *_ in fixed.NEIGHBOURHOODS]
+    names = F.array(*[F.lit(n) for n in [*names, "nowhere", "elsewhere", "far away"]])
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.concat(F.lit(" "), F.lower(names[(F.col("p_partkey") % F.size(names)).cast("int")]), F.lit("  ")).alias("nombre"),
+        F.lpad((F.col("p_partkey") % 20 + 1).cast("string"), 2, "0").alias("codigo"),
+    )
+    found = enrich.lookup_two_tier(
+        parts, "nombre", "codigo", enrich.neighbourhood_lookup(spark), enrich.district_lookup(spark), neighbourhoods.DEFAULTS
+    )
+    static = enrich.static_neighbourhoods(spark).select(F.upper("name").alias("static_name"), "lat", "lon", "zone")
+    placed = found.join(static, F.upper(F.trim("nombre")) == F.col("static_name"), "left")
+    return placed.select("p_partkey", title(F.trim("nombre")).alias("shown"), "stratum", "base_count", "base_value", "tier", "lat", "lon", "zone")
+
+
+@query
+def near_spellings(spark, sf_dir):
+    """Brands with one changed, lost or added character for some suppliers' parts: found by one edit."""
+    brand, kind = F.col("p_brand"), F.col("p_partkey") % 6
+    changed = (
+        F.when(kind == 0, F.concat(F.substring(brand, 1, 3), F.lit("e"), F.expr("substring(p_brand, 5)")))
+        .when(kind == 1, F.concat(brand, F.lit("x")))
+        .when(kind == 2, F.expr("substring(p_brand, 2)"))
+        .otherwise(brand)
+    )
+    parts = table(spark, sf_dir, "part").select(changed.alias("brand"), "p_type")
+    return rules.near_spellings(parts, "brand", 1, ["p_type"])
+
+
+@query
+def critical_columns_default(spark, sf_dir):
+    """Columns over the default share of nulls, where the buildings of every third part are unknown."""
+    unknown = F.col("l_partkey") % 3 == 0
+    lines = table(spark, sf_dir, "lineitem")
+    return rounded(
+        profile.critical_columns(
+            lines.select("l_orderkey", F.when(~unknown, F.col("l_tax")).alias("l_tax"), F.when(F.col("l_partkey") % 7 > 0, F.col("l_discount")).alias("l_discount"))
+        )
+    )
+
+
 @query
 def neighbourhood_enrich(spark, sf_dir):
     return rounded(enriched_parts(spark, sf_dir).drop("codigo", "st_area(shape)"))

@@ -95,6 +95,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks:
     return nan_to_null(reader.csv(path))
 
 
+def read_metrics(spark: SparkSession, path: str, by: str = "metric string") -> DataFrame:
+    """The history that `writers.write_metrics` appends: one row per run and metric."""
+    return spark.read.schema(f"{by}, value double, run string").json(path)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return nan_to_null(spark.read.parquet(path))
 
