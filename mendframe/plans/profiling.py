@@ -12,6 +12,8 @@ from mendframe.operators import profile
 from mendframe.operators.duplicates import table_health
 from mendframe.sources.writers import text_report
 
+SHOWN_NUMBERS = 5
+
 
 @dataclass(frozen=True)
 class Profile:
@@ -25,10 +27,11 @@ class Profile:
     null_pairs: DataFrame
     correlations: DataFrame
     score: DataFrame
+    shown_numbers: tuple[str, ...]
 
     def report(self) -> DataFrame:
         return text_report(
-            self.name, self.basic, self.score, self.nulls, self.numbers, self.null_pairs, self.correlations
+            self.name, self.basic, self.score, self.nulls, self.numbers, self.null_pairs, self.correlations, self.shown_numbers
         )
 
     def metrics(self) -> DataFrame:
@@ -72,4 +75,5 @@ def profile_table(df: DataFrame, name: str = "dataset") -> Profile:
         profile.null_pairs(df),
         profile.high_correlations(df),
         profile.score_from_health(health),
+        tuple(numeric_columns(df)[:SHOWN_NUMBERS]),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,9 +60,12 @@ def text_report(
     numbers: DataFrame,
     pairs: DataFrame,
     correlations: DataFrame,
-    shown_numbers: int = 5,
+    shown_numbers: Sequence[str],
 ) -> DataFrame:
-    """Report lines (section, position, line) from profile frames, which are small already."""
+    """Report lines (section, position, line) from profile frames, which are small already.
+
+    Of the number columns those named in `shown_numbers` have a line.
+    """
     sections = [
         basic.select(
             F.lit(1).alias("section"),
@@ -88,7 +93,7 @@ def text_report(
                 "NULLS %s: %s (%.2f%%), reliability %.2f%%", "column", _whole("nulls"), "null_percent", "reliability"
             ),
         ),
-        numbers.limit(shown_numbers).select(
+        numbers.filter(F.col("column").isin(list(shown_numbers))).select(
             F.lit(4),
             "column",
             F.format_string(

@@ -52,10 +52,12 @@ def windowed_health(
     )
 
 
-def run_available(health: DataFrame, table: str, checkpoint: str) -> None:
+def run_available(health: DataFrame, table: str, checkpoint: str) -> int:
     """Process what has arrived and stop; each batch appends the windows it changed.
 
-    A repeated batch after a failure overwrites its own part of the table, so it counts once.
+    A repeated batch after a failure overwrites its own part of the table, so it counts once. Returns
+    how many partial counts (of a task, window and group) came too late and are in no window: 0 if
+    nothing was lost.
     """
 
     def keep(batch: DataFrame, batch_id: int) -> None:
@@ -69,6 +71,7 @@ def run_available(health: DataFrame, table: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    return sum(state.numRowsDroppedByWatermark for step in query.recentProgress for state in step.stateOperators)
 
 
 def latest_windows(versions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
