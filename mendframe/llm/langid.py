@@ -183,25 +183,37 @@ def identify(
         """log P(value | language), smoothed towards the value's overall share."""
         share = F.aggregate("n", F.lit(0.0), lambda a, x: a + x) / rows
         per = F.array(*[F.lit(totals[f"s{i}"] or 0.0) for i in range(k)])
-        return _table(first, by, k).select(
-            by, F.transform(F.zip_with("n", per, lambda n, t: (n + EVIDENCE_WEIGHT * share) / (t + EVIDENCE_WEIGHT)), lambda x: F.log(x)).alias(f"log{by}")
-        )
-
-    by_suffix = _table(first, "_suffix", k).withColumn("prior", smoothed(everywhere, SUFFIX_WEIGHT)).select("_suffix", "prior")
-    # a host's parent is the suffix it is met with most often; without one, the whole table
-    parent = first.where("_host IS NOT NULL").groupBy("_host", "_suffix").agg(F.count("*").alias("c"))
-    parent = parent.groupBy("_host").agg(F.max_by("_suffix", F.struct("c", "_suffix")).alias("_suffix"))
-    hosts = _table(first, "_host", k).join(parent, "_host").join(by_suffix, "_suffix", "left")
-    hosts = hosts.withColumn("prior", smoothed(F.coalesce("prior", everywhere), HOST_WEIGHT))
-    hosts = hosts.select("_host", F.transform("prior", lambda x: F.log(x)).alias("log_host"))
+        logs = F.transform(F.zip_with("n", per, lambda n, t: (n + EVIDENCE_WEIGHT * share) / (t + EVIDENCE_WEIGHT)), lambda x: F.log(x))
+        return _table(first, by, k).select(by, logs.alias(f"log{by}"))
+
+    # tables by value are stored, so that the join knows their size: small ones go to the rows, and the texts stay in place
+    tables = {}
+    if declared_col:
+        tables["_declared"] = stored(given("_declared"), "language-declared")
+    if suffix_col:
+        tables["_suffix"] = stored(given("_suffix"), "language-suffixes")
+    if host_col:
+        hosts = _table(first, "_host", k)
+        above = everywhere
+        if suffix_col:
+            # a host's parent is the suffix it is met with most often; without one, the whole table
+            priors = _table(first, "_suffix", k).select("_suffix", smoothed(everywhere, SUFFIX_WEIGHT).alias("prior"))
+            parent = first.where("_host IS NOT NULL").groupBy("_host", "_suffix").agg(F.count("*").alias("c"))
+            parent = parent.groupBy("_host").agg(F.max_by("_suffix", F.struct("c", "_suffix")).alias("_suffix"))
+            hosts = hosts.join(parent, "_host").join(priors, "_suffix", "left")
+            above = F.coalesce("prior", everywhere)
+        priors = smoothed(above, HOST_WEIGHT)
+        tables["_host"] = stored(hosts.select("_host", F.transform(priors, lambda x: F.log(x)).alias("log_host")), "language-hosts")
 
     out = df.select(*columns, *evidence, scores(F.col(text_col)).alias("_text"))
-    for table, by in ((given("_declared"), "_declared"), (given("_suffix"), "_suffix"), (hosts, "_host")):
-        out = out.join(table, by, "left")
+    for by, values in tables.items():
+        out = out.join(values, by, "left")
     zero = F.array(*[F.lit(0.0)] * k)
     fused = F.col("_text")
-    for part in (F.col("log_declared"), F.col("log_suffix"), F.coalesce("log_host", F.transform(everywhere, lambda x: F.log(x)))):
-        fused = F.zip_with(fused, F.coalesce(part, zero), lambda a, b: a + b)
+    overall_log = F.transform(everywhere, lambda x: F.log(x))
+    parts = [F.coalesce(f"log{by}", zero) for by in tables if by != "_host"]
+    for part in [*parts, F.coalesce("log_host", overall_log) if host_col else overall_log]:
+        fused = F.zip_with(fused, part, lambda a, b: a + b)
     names = F.array(*[F.lit(n) for n in model.languages])
 
     def best(values: Column) -> Column:
