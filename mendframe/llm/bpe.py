@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WORD_CACHE = 1 << 19
-PART = 1 << 20
+WORD_CACHE = 1 << 17
+PART = 1 << 16
+SLICE = 256
 
 
 @cache
@@ -182,6 +183,18 @@ class Encoder:
         return out
 
 
+def _slices(batches: Iterator[pd.Series]) -> Iterator[list]:
+    """Values of Arrow batches, a few rows at a time, so that what a task holds does not follow the batch size."""
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.iloc[at : at + SLICE].tolist()
+
+
+def _decoded(tokens: np.ndarray, ids: bytes | None) -> str:
+    array = np.frombuffer(ids or b"", "<u4")
+    return " ".join(tokens[array[array < len(tokens)]].tolist())
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """`df` with `out_col`: the ids of the whole text as bytes, four a token, little-endian unsigned.
 
@@ -193,7 +206,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out_col: str = "ids
     @F.pandas_udf(T.BinaryType())
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(vocabulary.value)
-        for texts in batches:
+        for texts in _slices(batches):
             yield pd.Series([x.tobytes() for x in encoder.encode([t or "" for t in texts])], dtype=object)
 
     return df.withColumn(out_col, ids(F.col(text_col)))
@@ -209,8 +222,24 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
     @F.pandas_udf(T.StringType())
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = np.array(vocabulary.value.tokens, dtype=object)
-        for batch in batches:
-            arrays = [np.frombuffer(b or b"", "<u4") for b in batch]
-            yield pd.Series([" ".join(tokens[a[a < len(tokens)]].tolist()) for a in arrays], dtype=object)
+        for batch in _slices(batches):
+            yield pd.Series([_decoded(tokens, b) for b in batch], dtype=object)
 
     return df.withColumn(out_col, texts(F.col(ids_col)))
+
+
+def encode_decode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """`df` with ids and decoded, as `decode(encode(df))` gives them, in one pass through one Python worker a task."""
+    vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary(path))
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, tokens = Encoder(vocabulary.value), np.array(vocabulary.value.tokens, dtype=object)
+        for texts in _slices(batches):
+            ids = [x.tobytes() for x in encoder.encode([t or "" for t in texts])]
+            yield pd.DataFrame({"ids": ids, "decoded": [_decoded(tokens, b) for b in ids]}, dtype=object)
+
+    kept = [c for c in df.columns if c not in ("ids", "decoded")]
+    names = [f"c{i}" for i in range(len(kept))]
+    rows = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)], both(F.col(text_col)).alias("_both"))
+    return rows.select(*names, "_both.ids", "_both.decoded").toDF(*kept, "ids", "decoded")

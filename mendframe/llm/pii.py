@@ -29,7 +29,8 @@ WINDOW = 6
 SUPPORT = 3
 THRESHOLD = 0.8
 CELLS = 1 << 22
-FLUSH = 1 << 17
+FLUSH = 1 << 16
+SLICE = 256
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -260,8 +261,11 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     """
 
     @F.pandas_udf(T.StringType())
-    def clean(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([replaced(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
+    def clean(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, spans in batches:
+            for at in range(0, len(texts), SLICE):
+                pairs = zip(texts.iloc[at : at + SLICE], spans.iloc[at : at + SLICE], strict=True)
+                yield pd.Series([replaced(t, s) for t, s in pairs], dtype=object)
 
     names = [f"c{i}" for i in range(len(df.columns))]
     plain = df.toDF(*names)

@@ -43,7 +43,9 @@ def test_round_trip_of_tables(spark, documents, hostile, nothing):
             ids = tokenizer.encode(r["text"] or "", add_special_tokens=False).ids
             assert np.frombuffer(r["ids"], "<u4").tolist() == ids
             assert r["decoded"] == tokenizer.decode(ids, skip_special_tokens=False)
-    assert bpe.decode(bpe.encode(nothing, PATH), PATH).count() == 0
+        both = bpe.encode_decode(table, PATH)
+        assert both.columns == rows.columns and both.exceptAll(rows).isEmpty() and rows.exceptAll(both).isEmpty()
+    assert bpe.decode(bpe.encode(nothing, PATH), PATH).count() == 0 and bpe.encode_decode(nothing, PATH).count() == 0
     odd = spark.createDataFrame([(None,), (bytes([255] * 4),)], "ids binary")
     assert [r["decoded"] for r in bpe.decode(odd, PATH).collect()] == ["", ""]
 
