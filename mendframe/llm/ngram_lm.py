@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from mendframe.llm.common import stored
 
 DISCOUNT = 0.75
-BLOCK = 1 << 21
-SHARD = 1 << 20
+BLOCK = 1 << 19
+SHARD = 1 << 19
 HOT = 1 << 16
 WORD_BITS = 48
 CHUNK = 1 << 15
