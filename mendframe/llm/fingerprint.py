@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 PARAGRAPH = r"\n+|(?<=[.!?])\s+"
 WIDTH = 4
-GROUP = 8
-RETRIES = (5, 16, 48)
+GROUP = 5
+RETRIES = (4, 10, 40)
 BUCKETS_PER_PARTITION = 4
 SIDE = 32
 
@@ -31,41 +31,41 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
-def _position(digest: str, table: str, width: int, retry: int) -> str:
-    """Cell of a digest within a subtable; every retry hashes anew."""
+def _placed(digest: str, sign: str, check: str, width: int, retry: int) -> str:
+    """A digest with its sign, check hash and the cells of the three subtables; every retry hashes anew."""
     mixed = digest if retry == 0 else f"xxhash64({digest}, {retry})"
-    return f"pmod(shiftright({mixed}, 18 + 15 * cast({table} as int)), {width})"
+    places = ", ".join(f"{t * width} + pmod(shiftright({mixed}, {18 + 15 * t}), {width})" for t in range(3))
+    return f"named_struct('d', {digest}, 's', {sign}, 'h', {check}, 'c', array({places}))"
 
 
 def cells(items: str, width: int, retry: int = 0) -> str:
     """SQL: the sketch of an array of (d digest, s sign), as an array of (n, k, h)."""
-    here = _position("x.d", f"(c div {width})", width, retry)
+    placed = f"transform({items}, x -> {_placed('x.d', 'x.s', 'xxhash64(x.d)', width, retry)})"
     return (
-        f"transform(sequence(0, {3 * width - 1}), c -> aggregate(filter({items}, x -> {here} = c % {width}), "
+        f"transform(array({placed}), y -> transform(sequence(0L, {3 * width - 1}L), c -> aggregate(filter(y, x -> array_contains(x.c, c)), "
         "named_struct('n', 0, 'k', 0L, 'h', 0L), "
-        "(a, x) -> named_struct('n', a.n + x.s, 'k', a.k ^ x.d, 'h', a.h ^ xxhash64(x.d))))"
+        "(a, x) -> named_struct('n', a.n + x.s, 'k', a.k ^ x.d, 'h', a.h ^ x.h))))[0]"
     )
 
 
-def _pure(table: str) -> str:
-    return (
+def _pure(table: str, width: int, retry: int) -> str:
+    found = (
         f"array_distinct(transform(filter({table}, c -> abs(c.n) = 1 and xxhash64(c.k) = c.h), "
-        "c -> named_struct('d', c.k, 's', c.n)))"
+        "c -> named_struct('d', c.k, 's', c.n, 'h', c.h)))"
     )
+    return f"transform({found}, c -> {_placed('c.d', 'c.s', 'c.h', width, retry)})"
 
 
 def peeled(table: str, width: int, retry: int = 0) -> str:
     """SQL: the number of digests that peeling recovers from a sketch, null where cells are left over."""
-    here = _position("p.d", f"(i div {width})", width, retry)
+    pure = _pure("t", width, retry)
     stripped = (
-        f"transform(s.t, (c, i) -> aggregate(filter(s.p, p -> {here} = i % {width}), c, "
-        "(a, p) -> named_struct('n', a.n - p.s, 'k', a.k ^ p.d, 'h', a.h ^ xxhash64(p.d))))"
+        "transform(s.t, (c, i) -> aggregate(filter(s.p, p -> array_contains(p.c, cast(i as bigint))), c, "
+        "(a, p) -> named_struct('n', a.n - p.s, 'k', a.k ^ p.d, 'h', a.h ^ p.h)))"
     )
     # a round strips what the last one found; the next finds anew
-    step = (
-        "if(size(s.p) = 0, s, transform(array(" + stripped + f"), t -> named_struct('t', t, 'p', {_pure('t')}, 'f', s.f + size(s.p)))[0])"
-    )
-    start = f"transform(array({table}), t -> named_struct('t', t, 'p', {_pure('t')}, 'f', 0))[0]"
+    step = f"if(size(s.p) = 0, s, transform(array({stripped}), t -> named_struct('t', t, 'p', {pure}, 'f', s.f + size(s.p)))[0])"
+    start = f"transform(array({table}), t -> named_struct('t', t, 'p', {pure}, 'f', 0))[0]"
     end = "if(forall(s.t, c -> c.n = 0 and c.k = 0 and c.h = 0), s.f, cast(null as int))"
     return f"aggregate(sequence(1, {3 * width}), {start}, (s, r) -> {step}, s -> {end})"
 
@@ -73,7 +73,8 @@ def peeled(table: str, width: int, retry: int = 0) -> str:
 def difference(ours: str, theirs: str) -> str:
     """SQL: how many digests stand in one of two arrays only, by sketches of growing size."""
     signed = f"concat(transform({ours}, d -> named_struct('d', d, 's', 1)), transform({theirs}, d -> named_struct('d', d, 's', -1)))"
-    small = peeled(cells("items", WIDTH), WIDTH)
+    # a sketch cannot give up more digests than it has cells
+    small = f"if(abs(size({ours}) - size({theirs})) > {3 * WIDTH}, cast(null as int), {peeled(cells('items', WIDTH), WIDTH)})"
     # groups by the low bits of a digest, dealt in two steps, so that dealing stays cheap for long texts
     bits = f"cast(greatest(0, ceil(log2(greatest(1, size(items)) / {GROUP}))) as int)"
     half = "(b div 2)"
@@ -141,13 +142,13 @@ def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         place = F.lit(0)
     placed = rows.withColumn("range", place.cast("int")).withColumns({"hash": F.xxhash64("text"), "d": digests(F.col("text"))})
     ahead = Window.partitionBy("range").orderBy(F.desc("id"), "hash")
-    first = placed.groupBy("range").agg(F.max_by(F.struct("text", "d"), F.struct("id", -F.col("hash"))).alias("head"))
+    first = placed.groupBy("range").agg(F.max_by("text", F.struct("id", -F.col("hash"))).alias("head_text"))
     met = sorted((r["range"] for r in placed.select("range").distinct().collect()), reverse=True)
     # descending ids run through the ranges from the last to the first, and round again
     follows = {a: b for a, b in zip(met, met[1:] + met[:1], strict=True)}
     pairs = [x for a, b in follows.items() for x in (F.lit(b), F.lit(a))]
     before = F.create_map(*pairs)[F.col("range")] if pairs else F.lit(0)
-    heads = first.select(before.cast("int").alias("range"), F.col("head.text").alias("head_text"), F.col("head.d").alias("head_d"))
+    heads = first.select(before.cast("int").alias("range"), "head_text", digests(F.col("head_text")).alias("head_d"))
     looked = placed.withColumns({"next_text": F.lead("text").over(ahead), "next_d": F.lead("d").over(ahead)})
     whole = looked.join(heads, "range")
     return whole.select(
