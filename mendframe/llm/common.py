@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+import os
+import tempfile
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import mendframe
 from mendframe.session import materialized
 
 NULL_KEY = 2**63 - 1
+CHUNK = 1 << 20
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application, unless their path has it already."""
+    context, root = spark.sparkContext, Path(mendframe.__file__).resolve().parent.parent
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="mendframe-package-")) / "mendframe.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted((root / "mendframe").rglob("*.py")):
+            file.write(source, source.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -32,49 +57,76 @@ def last_as_null(column: Column) -> Column:
     return F.when(column != NULL_KEY, column)
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _is_star(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller node, and no node has edges both ways."""
+    ends = edges.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+            )
+        ).alias("e")
+    ).select("e.*")
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
+def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (u, v) of a task as stars: every node with the smallest one it reaches within CHUNK links."""
+
+    def stars(parts: list[np.ndarray]) -> pd.DataFrame:
+        nodes, ends = np.unique(np.concatenate(parts), return_inverse=True)
+        a, b = ends.reshape(-1, 2).T
+        label = np.arange(len(nodes))
+        while True:
+            low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+            if (low == high).all():
+                break
+            np.minimum.at(label, high, low)
+            while (label[label] != label).any():
+                label = label[label]
+        moved = np.flatnonzero(label != np.arange(len(nodes)))
+        return pd.DataFrame({"u": nodes[moved], "v": nodes[label[moved]]})
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch[["u", "v"]].to_numpy(dtype=np.int64).ravel())
+        size += len(batch)
+        if size >= CHUNK:
+            yield stars(held)
+            held, size = [], 0
+    if held:
+        yield stars(held)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of `links` (a, b: two long columns); root is the smallest reachable node.
 
-    Alternating large-star and small-star rounds: every round is two aggregations with map-side
-    combine and joins on the node, and is stored, so lost executors cost a re-read. No group is
-    collected: a hub meets its neighbours only as join rows. Loops and repeated links are ignored;
-    an empty table gives an empty result.
+    Each task first contracts its own links to stars, CHUNK of them at a time, as a map-side combine.
+    What several tasks share is joined by alternating large-star and small-star steps: an aggregation
+    and a join on the node each; a round is stored, so lost executors cost a re-read. No group is
+    collected: a hub meets its neighbours only as join rows. Loops and repeated links are ignored; an
+    empty table gives an empty result.
     """
     edges = stored(
-        links.where(F.col("a") != F.col("b"))
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct(),
-        "links",
+        links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "links"
     )
-    state = _digest(edges)
     while True:
+        tasks = max(1, math.ceil(edges.count() / CHUNK))
+        before, edges = edges, stored(edges.coalesce(tasks).mapInPandas(_contract, "u long, v long"), "stars")
+        drop_stored(before)
+        if tasks == 1 or _is_star(edges):
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = stored(
-            both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct(),
-            "large-star",
-        )
+        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.distinct(), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = stored(
-            joined.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-            .select("e.u", "e.v")
-            .where(F.col("u") != F.col("v"))
-            .distinct(),
-            "small-star",
-        )
-        state, before = _digest(small), state
-        same = state == before
+        down = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(least, "u").select(F.explode(down).alias("e")).select("e.u", "e.v").where(F.col("u") != F.col("v"))
+        before, edges = edges, stored(small.distinct(), "small-star")
+        drop_stored(before)
         drop_stored(large)
-        drop_stored(edges)
-        edges = small
-        if same:
-            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

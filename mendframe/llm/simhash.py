@@ -152,10 +152,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     prints = stored(fingerprints(df, id_col, text_col, shingle).withColumn("id", key_or_last(F.col("id"))), "simhash")
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "codes")
-    linked = components(near_links(distinct.select("fp"), radius))
-    rooted = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    labels = rooted.join(smallest, "root").select("fp", "component")
+    linked = components(near_links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
+    # only linked fingerprints need their group's smallest id; stored, so that the joins know how few they are
+    linked = stored(linked.join(distinct, "fp"), "simhash-linked")
+    smallest = linked.groupBy("root").agg(F.min("first").alias("component"))
+    grouped = stored(linked.join(smallest, "root").select("fp", "component"), "simhash-groups")
+    labels = distinct.join(grouped, "fp", "left").select("fp", F.coalesce("component", "first").alias("component"))
     return prints.join(labels, "fp").select(
         last_as_null(F.col("id")).alias("id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
