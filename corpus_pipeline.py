@@ -6,11 +6,14 @@ reads again as the next stage's input. All but the last return the columns of do
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendframe.llm import bpe, langid, mixing, pii, simhash
+from mendframe.llm.common import ship
 from mendframe.session import materialized
 
 VOCABULARY = "word_bpe_49k.json"
@@ -20,34 +23,48 @@ MIX = mixing.Target(entropy=0.9)
 ORACLE_SQL = None
 
 
+def stage(fn):
+    """A stage whose package the executors have."""
+
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is identified; text, declared language and source speak together."""
     model = langid.fit_text_model(docs)
     return langid.keep_identified(docs, model, text_col="text", declared_col="lang", host_col="source")
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates."""
     return simhash.keep_one(docs)
 
 
+@stage
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data and disclosing terms in the texts; n_chars follows the new text."""
     clean = pii.sanitise(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
+@stage
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents so that sources reach the target entropy; every document stays at least once."""
     return mixing.realise(mixing.mix(docs, MIX)).select(*docs.columns)
 
 
+@stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row and a digest of the text that they decode to."""
     path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), path).select("doc_id", "source", "ids")
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(
+    return bpe.encode_decode(docs.select("doc_id", "source", "text"), path).select(
         "doc_id",
         "source",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
@@ -67,6 +84,6 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialized(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, step in STAGES:
+        docs = materialized(step(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,14 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendframe.llm import bpe, fingerprint, langid, licences, mixing, near_embeddings, ngram_lm, pii, simhash, token_counts
+from mendframe.llm.common import ship
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(fn):
-    REGISTRY[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +41,7 @@ def op1_embeddings(spark, sf_dir):
 def op2_bpe(spark, sf_dir):
     """Encode and decode of every document, as digests."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
-    return bpe.decode(encoded, path).select(
+    return bpe.encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import types as T
 
+from mendframe.llm.common import ship
+
 LONG = "lorem ipsum dolor. " * 20_000
 
 
@@ -39,6 +41,11 @@ SCHEMA = T.StructType(
 )
 
 
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    ship(spark)
+
+
 @pytest.fixture(scope="session")
 def hostile(spark):
     return spark.createDataFrame(hostile_rows(), SCHEMA)
