@@ -14,7 +14,6 @@ link to the smallest member of its connected part. Copies are folded before and
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +27,10 @@ THRESHOLD = 0.9
 TREES = 6
 LEAF = 1024
 SAMPLE = 4096
-DEPTH = 6
+DEPTH = 7
+SPILL = 0.025
 DENSE = 0.2
-ROUNDS = 6
+ROUNDS = 4
 SLOTS = 1 << (DEPTH + 1)
 
 
@@ -50,26 +50,22 @@ def direction(node: int, slot: int, size: int) -> np.ndarray:
 def fit_subtree(node: int, sample: np.ndarray, count: int, threshold: float, leaf: int) -> np.ndarray:
     """Bounds (low, high) of the splits by heap slot, NaN where a slot is a leaf.
 
-    A slot's left child takes projections up to `high`, the right one those from `low`: at least the
-    middle tenth, and the stretch in which a pair at the threshold is typically parted.
+    A slot's left child takes projections up to `high`, the right one those from `low`: both take SPILL
+    of the vectors on either side of the median.
     """
     bounds = np.full((SLOTS, 2), np.nan)
     x = unit(sample)
-    reach = math.sqrt(2 - 2 * threshold) / 2 / math.sqrt(x.shape[1])
     todo = [(1, x, float(count))]
     while todo:
         slot, part, size = todo.pop()
-        if size <= leaf * 0.8 or slot >= SLOTS // 2 or len(part) < 16:
+        if size <= leaf * 0.6 or slot >= SLOTS // 2 or len(part) < 16:
             continue
         seen = part[:256]
         near = (seen @ seen.T >= threshold).sum() - len(seen)
         if near >= DENSE * len(seen) * (len(seen) - 1):
             continue
         projected = part @ direction(node, slot, part.shape[1])
-        low, middle, high = np.quantile(projected, [0.45, 0.5, 0.55])
-        wide = min(low, middle - reach), max(high, middle + reach)
-        if max((projected <= wide[1]).mean(), (projected >= wide[0]).mean()) <= 0.75:
-            low, high = wide
+        low, high = np.quantile(projected, [0.5 - SPILL, 0.5 + SPILL])
         left, right = part[projected <= high], part[projected >= low]
         if max(len(left), len(right)) > 0.9 * len(part):
             continue
@@ -146,13 +142,15 @@ def leaves(vectors: DataFrame, threshold: float, trees: int, leaf: int) -> DataF
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for node, rows in batch.groupby("node", sort=False):
-                bounds = np.frombuffer(rows["bounds"].iloc[0]).reshape(SLOTS, 2)
-                for slot, at in route(node, bounds, np.vstack(rows["v"].to_list())):
-                    out.append(rows.iloc[at][["cls", "w", "v"]].assign(node=node * SLOTS + slot))
-            if out:
-                yield pd.concat(out)[["node", "cls", "w", "v"]]
+            places, nodes = [], []
+            for node, rows in batch.groupby("node", sort=False).indices.items():
+                bounds = np.frombuffer(batch["bounds"].iloc[rows[0]]).reshape(SLOTS, 2)
+                for slot, at in route(node, bounds, np.vstack(batch["v"].iloc[rows].to_list())):
+                    places.append(rows[at])
+                    nodes.append(np.full(len(at), node * SLOTS + slot))
+            if places:
+                out = batch[["cls", "w", "v"]].iloc[np.concatenate(places)]
+                yield out.assign(node=np.concatenate(nodes))[["node", "cls", "w", "v"]]
 
     kind = vectors.schema["v"].dataType.simpleString()
     roots = F.explode(F.array(*[F.lit(t).cast("long") for t in range(trees)]))
