@@ -68,9 +68,12 @@ def scan(
     listed = sorted((name, sorted(bigrams_of(text))) for name, text in templates)
     smallest = min(len(b) for _, b in listed) * least / (2 - least)
     table = ", ".join(f"named_struct('name', {_literal(name)}, 'n', {len(b)}, 'b', array({', '.join(map(_literal, b))}))" for name, b in listed)
+    largest = max(len(b) for _, b in listed) * (2 - least) / least
+    # a unit has at least as many bigrams as it has different words, less one: long ones go before theirs are built
+    words = f"transform(filter(units, u -> length(u) - length(replace(u, ' ', '')) >= {math.ceil(smallest)}), u -> split(u, ' '))"
     pairs = (
-        f"filter(transform(filter(units, u -> length(u) - length(replace(u, ' ', '')) >= {math.ceil(smallest)}), u -> transform(array(split(u, ' ')), "
-        "w -> array_distinct(transform(sequence(1, size(w) - 1), i -> concat(w[i - 1], ' ', w[i]))))[0]), b -> size(b) > 0)"
+        f"filter(transform(filter({words}, w -> size(array_distinct(w)) <= {math.floor(largest) + 1}), "
+        "w -> array_distinct(transform(sequence(1, size(w) - 1), i -> concat(w[i - 1], ' ', w[i])))), b -> size(b) > 0)"
     )
     fits = f"size(u) between t.n * {least}D / {2 - least}D and t.n * {2 - least}D / {least}D"
     scored = (
