@@ -10,8 +10,9 @@ log P(language | text, markup, suffix, host) is, up to a constant, the sum of
   towards the overall ones.
 
 Missing evidence (null or empty) adds nothing. The trigram tables have a fixed number of cells
-(BUCKETS x languages) and are fitted on a bounded sample of labelled rows (SAMPLE, by hash of the
-text); all other counts cover every row.
+(BUCKETS x languages) and are fitted on a sample of each label's rows (SAMPLE distinct texts, by hash
+of the text; all rows of a label with fewer), so no language depends on the size of the others; all
+other counts cover every row.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from mendframe.llm.common import stored
 
 BUCKETS = 1 << 16
 SAMPLE = 20_000
-LANGUAGES = 64
 TEMPER = 0.1
 ADD = 0.5
 HOST_WEIGHT = 20.0
@@ -71,33 +71,44 @@ class TextModel:
 
 
 def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lang") -> TextModel:
-    """Trigram weights from a bounded sample of labelled rows: SAMPLE of them in expectation, by hash of the text.
+    """Trigram weights from a sample of each label's rows: those of SAMPLE distinct texts in expectation, by hash of the text.
 
-    Only labels of the LANGUAGES most frequent ones are used; null and empty labels are left out. With no
-    labelled row the model knows the background alone.
+    A label with no more distinct texts gives all its rows. Every label is a language of the model, which
+    holds half a MB for each; null and empty labels are left out. Smoothing adds at most half of what a label's
+    rows count, so that a handful of rows is not levelled out. With no labelled row the model knows the background alone.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.lower(F.trim(F.col(label_col))).alias("label")).where("label <> '' AND text IS NOT NULL")
-    labels = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
-    names, total = sorted(r["label"] for r in labels), sum(r["count"] for r in labels)
+    digest = F.xxhash64("text")
+    labels = rows.groupBy("label").agg(F.approx_count_distinct(digest).alias("texts")).collect()
+    names = sorted(r["label"] for r in labels)
     if names:
-        share = min(1.0, SAMPLE / total)
-        picked = rows.where(F.col("label").isin(names) & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))))
+        places = {name: at for at, name in enumerate(names)}
+        bounds = [(r["label"], int(min(1.0, SAMPLE / max(1, r["texts"])) * (1 << 30))) for r in labels]
+        partial = [(label, bound) for label, bound in bounds if bound < 1 << 30]
+        bound = F.lit(1 << 30)
+        if partial:
+            bound = F.coalesce(F.create_map(*[F.lit(x) for pair in partial for x in pair])[F.col("label")], bound)
+        picked = rows.where(F.pmod(digest, F.lit(1 << 30)) < bound)
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            cells = np.zeros((len(names), BUCKETS), dtype=np.int64)
+            cells: dict[int, np.ndarray] = {}
             for batch in batches:
                 for text, label in zip(batch["text"], batch["label"], strict=True):
                     for part in trigrams(text):
-                        cells[names.index(label)] += np.bincount(part, minlength=BUCKETS)
-            at, cell = cells.nonzero()
-            yield pd.DataFrame({"label": at, "cell": cell, "n": cells[at, cell]})
+                        held = cells.setdefault(places[label], np.zeros(BUCKETS, dtype=np.int64))
+                        held += np.bincount(part, minlength=BUCKETS)
+            for at, held in cells.items():
+                cell = held.nonzero()[0]
+                yield pd.DataFrame({"label": np.full(len(cell), at, dtype=np.int64), "cell": cell, "n": held[cell]})
 
         found = picked.mapInPandas(count, "label long, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).toPandas()
     cells = np.full((len(names) + 1, BUCKETS), 0.0)
     if names:
         cells[found["label"], found["cell"]] = found["n"]
     seen = max(1, int((cells.sum(axis=0) > 0).sum()))
-    weights = np.log((cells + ADD) / (cells.sum(axis=1, keepdims=True) + ADD * BUCKETS))
+    counts = cells.sum(axis=1, keepdims=True)
+    add = ADD * np.minimum(1.0, np.maximum(counts, 1.0) / BUCKETS)
+    weights = np.log((cells + add) / (counts + add * BUCKETS))
     weights[-1] = -math.log(max(seen, BUCKETS // 4))
     return TextModel([*names, UNKNOWN], np.ascontiguousarray(weights.T))
 

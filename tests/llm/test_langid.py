@@ -71,3 +71,16 @@ def test_long_texts_are_read_in_parts(monkeypatch, model):
     whole = model.scores(text)
     monkeypatch.setattr(langid, "PART", 1000)
     assert abs(model.scores(text) - whole).max() < 0.05 * abs(whole).max()
+
+
+def test_rare_languages_are_known_in_a_large_corpus(spark, halves, monkeypatch):
+    """A handful of rows among many, and more than 64 labels: all are in the model and their documents stay."""
+    monkeypatch.setattr(langid, "SAMPLE", 20)
+    rare = [(f"þetta er íslenskur texti um veðrið og sjóinn við ströndina þar sem bátar liggja í höfn {w}", "is") for w in ("núna", "enn", "oft")]
+    labels = [("xqzj wvkq " * 20 + f"{chr(97 + i // 26)}{chr(97 + i % 26)}" * 40, f"q{chr(97 + i // 26)}{chr(97 + i % 26)}") for i in range(70)]
+    few = spark.createDataFrame(rare + labels * 4, "text string, lang string")
+    table = halves[0].select("text", "lang").unionByName(few)
+    model = langid.fit_text_model(table)
+    assert {"is", *(name for _, name in labels)} <= set(model.languages)
+    assert {r["language"] for r in langid.identify(few.where("lang = 'is'"), model).collect()} == {"is"}
+    assert langid.keep_identified(table, model, declared_col="lang").where("lang = 'is'").count() == len(rare)
