@@ -43,8 +43,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates."""
-    return simhash.keep_one(docs)
+    """Keeps one row of each group of near-duplicates, the one with the smallest id; ids may repeat or be missing."""
+    return simhash.keep_one_row(docs)
 
 
 @stage

@@ -141,6 +141,20 @@ def near_links(codes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, lev
     return found
 
 
+def _grouped(prints: DataFrame, radius: int) -> DataFrame:
+    """`prints` (id, fp, any others; stored) with component and root, the group's smallest id and its own fingerprint."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "codes")
+    linked = components(near_links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
+    # only linked fingerprints need their group's smallest id; stored, so that the joins know how few they are
+    linked = stored(linked.join(distinct, "fp"), "simhash-linked")
+    smallest = linked.groupBy("root").agg(F.min("first").alias("component"))
+    grouped = stored(linked.join(smallest, "root").select("fp", "root", "component"), "simhash-groups")
+    labels = distinct.join(grouped, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "first").alias("component")
+    )
+    return prints.join(labels, "fp")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component (smallest id reachable by links).
 
@@ -151,14 +165,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows. An empty table gives an empty result. Columns other than the two named are not read.
     """
     prints = stored(fingerprints(df, id_col, text_col, shingle).withColumn("id", key_or_last(F.col("id"))), "simhash")
-    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "codes")
-    linked = components(near_links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
-    # only linked fingerprints need their group's smallest id; stored, so that the joins know how few they are
-    linked = stored(linked.join(distinct, "fp"), "simhash-linked")
-    smallest = linked.groupBy("root").agg(F.min("first").alias("component"))
-    grouped = stored(linked.join(smallest, "root").select("fp", "component"), "simhash-groups")
-    labels = distinct.join(grouped, "fp", "left").select("fp", F.coalesce("component", "first").alias("component"))
-    return prints.join(labels, "fp").select(
+    return _grouped(prints, radius).select(
         last_as_null(F.col("id")).alias("id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         last_as_null(F.col("component")).alias("component"),
@@ -179,3 +186,30 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     rank = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(text)))
     kept = plain.withColumn("_key", key_or_last(F.col(at))).join(winners, "_key", "left_semi")
     return kept.withColumn("_rank", rank).where("_rank = 1").select(*names).toDF(*df.columns)
+
+
+def keep_one_row(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of `df` for each group of near-duplicate texts, whatever the ids; all columns unchanged.
+
+    Rows are told apart by id and text, so different texts that share an id, or have none, stay as long as
+    their groups differ. Of a group the row with the smallest id stays (null last), then the one whose text
+    hashes lowest; of rows equal in both any one, as the hash of their other columns has it.
+    """
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    plain = df.toDF(*names)
+    at, text = names[df.columns.index(id_col)], names[df.columns.index(text_col)]
+    marks = [F.xxhash64(text).alias("_m1"), F.xxhash64(F.lit(1), F.col(text)).alias("_m2")]
+    key = ["_key", "_m1", "_m2"]
+
+    @F.pandas_udf(T.LongType())
+    def simhash(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+
+    keyed = plain.select(key_or_last(F.col(at)).alias("_key"), *marks, simhash(F.col(text)).alias("fp"))
+    prints = stored(keyed.withColumn("id", F.col("_key")), "simhash")
+    winners = _grouped(prints, radius).groupBy("root").agg(F.min(F.struct(*key)).alias("w")).select("w.*")
+    winners = stored(winners, "simhash-kept")
+    rest = F.xxhash64(*[F.col(f.name) for f in plain.schema.fields if not isinstance(f.dataType, T.MapType)])
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(rest))
+    kept = plain.select("*", key_or_last(F.col(at)).alias("_key"), *marks).join(winners, key, "left_semi")
+    return kept.withColumn("_rank", rank).where("_rank = 1").select(*names).toDF(*df.columns)

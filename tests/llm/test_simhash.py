@@ -98,3 +98,22 @@ def test_hot_buckets_go_down_the_levels(spark):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
     far = links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > 8)
     assert far.count() == 0
+
+
+def test_one_row_a_group_whatever_the_ids(spark, hostile, nothing):
+    texts = {
+        "a": "The committee met on Tuesday and agreed to repair the old stone bridge before winter comes.",
+        "b": "Seven sailors left the harbour at dawn with bread, rope and a very small lantern.",
+        "c": "Prices of copper fell again while markets waited for figures from the larger mines.",
+    }
+    rows = [(7, "a"), (5, "b"), (7, "b"), (7, "c"), (None, "c"), (None, "a")]
+    rows = [(i, texts[t], n) for n, (i, t) in enumerate(rows)]
+    rows += [(None, f"{w} stands alone in a text of {w} words about {w} and nothing else", 9) for w in ("iron", "salt", "wool")]
+    rows += rows[-1:]
+    kept = simhash.keep_one_row(spark.createDataFrame(rows, "doc_id long, text string, n int"))
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(7, texts["a"]), (5, texts["b"]), (7, texts["c"]), *((None, t) for _, t, _ in rows[6:9])], key=str)
+    groups = len(set(plain_components([plain_print(r["text"]) for r in hostile.collect()]).values()))
+    odd = simhash.keep_one_row(hostile)
+    assert odd.columns == hostile.columns and odd.count() == groups
+    assert simhash.keep_one_row(nothing).count() == 0
