@@ -1,12 +1,15 @@
 """Personal data: exact patterns, and terms whose corpus co-occurrence discloses the entity they stand near.
 
-Information-theoretic sanitisation. An entity is a value that a pattern finds (kind and value); its
-context are the WINDOW words on either side of an occurrence. With p(e) the share of documents that
-hold entity e, p(t) the share that hold term t, and p(e, t) the share with t in a context of e, the
-disclosure of e by t is PMI(e, t) / IC(e) = log(p(e, t) / (p(e) p(t))) / -log p(e): 1 where t never
-stands anywhere else, 0 where it is independent. Terms of at least `threshold`, seen in at least
-SUPPORT different contexts of e (copies of a context count once), are added as spans of kind "term",
-and the sanitised text holds a general label in their place, as for the entity itself.
+Information-theoretic sanitisation. An entity is a value that a pattern finds (kind and value). With
+p(e) the share of documents that hold entity e, p(t) the share that hold term t, and p(e, t) the share
+that hold both, wherever they stand, the disclosure of e by t is PMI(e, t) / IC(e) = log(p(e, t) /
+(p(e) p(t))) / -log p(e): 1 where t is met in no other document, 0 where it is independent. Terms of at
+least `threshold` with enough support are added as spans of kind "term" in every text that holds them,
+with the entity or without, and the sanitised text holds a general label in their place, as for the
+entity itself.
+
+Support is SUPPORT different contexts of e: its windows (WINDOW words on either side) that hold t, or its
+documents that hold t, each known by one of its windows. Copies of a context count once.
 """
 
 from __future__ import annotations
@@ -92,15 +95,25 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else value if kind == 'ip' else _digits(value)}"
 
 
-def context(text: str, start: int, end: int, taken: list[tuple[int, int]], window: int = WINDOW) -> list[tuple[str, int, int]]:
-    """Words around a span, lower-cased with their places; looks REACH characters far and skips other spans."""
+def context(text: str, start: int, end: int, taken: list[tuple[int, int]], window: int = WINDOW) -> list[str]:
+    """Words around a span, lower-cased; looks REACH characters far and skips other spans."""
     left = [m for m in _WORD.finditer(text, max(0, start - REACH), start)][-window:]
     right = []
     for m in _WORD.finditer(text, end, end + REACH):
         right.append(m)
         if len(right) == window:
             break
-    return [(m[0].lower(), m.start(), m.end()) for m in left + right if not any(a < m.end() and m.start() < b for a, b in taken)]
+    return [m[0].lower() for m in left + right if not any(a < m.end() and m.start() < b for a, b in taken)]
+
+
+def places(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    """All words of a text, lower-cased with their places, but for those that overlap a span."""
+    spans, at = sorted(taken), 0
+    for m in _WORD.finditer(text):
+        while at < len(spans) and spans[at][1] <= m.start():
+            at += 1
+        if not any(a < m.end() and m.start() < b for a, b in spans[at : at + len(KINDS)]):
+            yield m[0].lower(), m.start(), m.end()
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -119,11 +132,12 @@ _ROW = T.StructType(
                     [
                         T.StructField("entity", T.StringType()),
                         T.StructField("context", T.LongType()),
-                        T.StructField("terms", T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+                        T.StructField("terms", T.ArrayType(T.StringType())),
                     ]
                 )
             ),
         ),
+        T.StructField("words", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -135,26 +149,62 @@ def _analysed(text: str | None) -> tuple:
     near = []
     for kind, a, b in spans:
         terms = context(text, a, b, taken)
-        mark = xxhash.xxh64_intdigest(" ".join(t for t, _, _ in terms)) - (1 << 63)
+        mark = xxhash.xxh64_intdigest(" ".join(terms)) - (1 << 63)
         near.append((entity(kind, text[a:b]), mark, terms))
     counts = Counter(k for k, _, _ in spans)
     digest = xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
-    return (*[counts[k] for k in KINDS], joined(spans), digest, near)
+    words = sorted({w for w, _, _ in places(text, taken)}) if spans else []
+    return (*[counts[k] for k in KINDS], joined(spans), digest, near, words)
 
 
-def _document_counts(df: DataFrame, text_col: str, candidates: DataFrame) -> DataFrame:
-    """(term, n): in how many rows of `df` each candidate term stands, over all rows.
-
-    A bitmap of fixed size (CELLS bits) marks the candidates' hashes, so tasks leave out nearly all other
-    words; what slips through falls in the join with the candidates.
-    """
-    marks = candidates.select(F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(CELLS)).cast("long").alias("cell"))
+def _marked(terms: DataFrame):
+    """A shared bitmap of fixed size (CELLS bits) that marks the hashes of `terms`: it leaves out nearly all other words."""
+    marks = terms.select(F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(CELLS)).cast("long").alias("cell"))
     words = marks.groupBy((F.col("cell") / 62).cast("long").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell % 62 as int))")).alias("bits"))
     cells = np.zeros(CELLS + 62, dtype=bool)
     for row in words.toLocalIterator():
         for bit in range(62):
             cells[row["at"] * 62 + bit] = row["bits"] >> bit & 1
-    shared = df.sparkSession.sparkContext.broadcast(np.packbits(cells))
+    return terms.sparkSession.sparkContext.broadcast(np.packbits(cells))
+
+
+def _everywhere(df: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
+    """(hash, added): the places of all `terms` in every text that holds one, over all rows."""
+    shared = _marked(terms)
+
+    def find_places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from zlib import crc32
+
+        marked = np.unpackbits(shared.value)
+        known: dict[str, bool] = {}
+
+        def hit(word: str) -> bool:
+            if word not in known:
+                if len(known) >= FLUSH:
+                    known.clear()
+                known[word] = bool(marked[crc32(word.encode("utf-8", "replace")) % CELLS])
+            return known[word]
+
+        for batch in batches:
+            for text in batch["text"]:
+                text = text or ""
+                if not any(hit(w) for w in {w.lower() for w in _WORD.findall(text)}):
+                    continue
+                found = [p for p in places(text, [(a, b) for _, a, b in base_spans(text)]) if hit(p[0])]
+                if found:
+                    digest = xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
+                    yield pd.DataFrame(found, columns=["term", "start", "end"]).assign(hash=digest)
+
+    found = df.select(F.col(text_col).alias("text")).mapInPandas(find_places, "term string, start long, end long, hash long")
+    return found.join(terms, "term").groupBy("hash").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("added"))
+
+
+def _document_counts(df: DataFrame, text_col: str, candidates: DataFrame) -> DataFrame:
+    """(term, n): in how many rows of `df` each candidate term stands, over all rows.
+
+    What slips through the bitmap falls in the join with the candidates.
+    """
+    shared = _marked(candidates)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from zlib import crc32
@@ -169,7 +219,7 @@ def _document_counts(df: DataFrame, text_col: str, candidates: DataFrame) -> Dat
         known: dict[str, bool] = {}
         for batch in batches:
             for text in batch["text"]:
-                for word in set(_WORD.findall((text or "").lower())):
+                for word in {w.lower() for w in set(_WORD.findall(text or ""))}:
                     hit = known.get(word)
                     if hit is None:
                         if len(known) >= FLUSH:
@@ -189,8 +239,9 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     """One row per input row: id, hash (of the text), n_email, n_ip, n_card, n_phone, base and spans.
 
     `base` and `spans` list kind:start:end in code points, comma-joined: the base spans by kind as
-    listed and start, in `spans` followed by the added terms by start. Null texts count as empty and
-    have no span. Null and repeated ids are kept; a row's terms depend on its text alone, so equal
+    listed and start, in `spans` followed by the added terms by start: every place of every disclosing term,
+    also in texts that do not hold the entity. Null texts count as empty and
+    have no span. Null and repeated ids are kept; equal
     texts have equal spans. Whole texts are read. An empty table gives an empty result. Other columns
     of `df` are not read.
     """
@@ -204,38 +255,38 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     near = rows.where(F.size("near") > 0).select("id", "hash", F.explode("near").alias("x")).select("id", "hash", "x.*")
     # copies of a context count once, and are folded before the terms are spread
     once = near.groupBy("entity", "context").agg(F.first("terms").alias("terms"))
-    pairs = (
-        once.select("entity", "context", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= SUPPORT)
-    )
-    pairs = stored(pairs, "pii-pairs")
-    holding = near.select("entity", "hash", "id").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    together = (
-        near.select("entity", "id", "hash", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
-        .join(pairs, ["entity", "term"])
-        .select("entity", "term", "id", "hash")
-        .distinct()
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("n_et"))
-    )
+    windows = once.select("entity", "context", F.explode(F.array_distinct("terms")).alias("term")).groupBy("entity", "term").agg(F.count("*").alias("windows"))
+    windows = stored(windows.where(F.col("windows") >= SUPPORT), "pii-windows")
+    # every text of an entity with its number of rows and one context
+    texts = near.groupBy("entity", "hash", "id").agg(F.min("context").alias("context"))
+    texts = stored(texts.groupBy("entity", "hash").agg(F.min("context").alias("context"), F.count("*").alias("n")), "pii-texts")
+    holding = texts.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count_distinct("context").alias("contexts"))
+    supported = holding.join(windows.select("entity", F.lit(True).alias("close")).distinct(), "entity", "left")
+    supported = supported.where((F.col("contexts") >= SUPPORT) | F.col("close")).select("entity", "n_e").where(F.col("n_e") < total)
+    texts = stored(texts.join(supported, "entity"), "pii-supported")
+    words = rows.where(F.size("near") > 0).join(texts.select("hash").distinct(), "hash", "left_semi")
+    words = stored(words.groupBy("hash").agg(F.first("words").alias("words")).select("hash", F.explode("words").alias("term")), "pii-words")
+    terms = _document_counts(df, text_col, words.select("term").distinct()).withColumnRenamed("n", "n_t")
     n_e, n_t, n_et = (F.col(c).cast("double") for c in ("n_e", "n_t", "n_et"))
-    terms = _document_counts(df, text_col, pairs).withColumnRenamed("n", "n_t")
-    pmi = F.log(n_et * total / (n_e * n_t))
-    telling = (
-        together.join(holding, "entity").join(terms, "term").where((n_e < total) & (pmi >= threshold * F.log(total / n_e))).select("entity", "term")
-    )
-    added = (
-        near.select("hash", "entity", F.explode("terms").alias("t"))
-        .select("hash", "entity", "t.*")
-        .join(telling, ["entity", "term"])
-        .groupBy("hash")
-        .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("added"))
+    least = threshold * F.log(total / n_e)
+    # a pair stands together in no more documents than either alone: most words are too frequent and go before they are counted
+    together = (
+        words.join(stored(terms, "pii-terms"), "term")
+        .join(texts, "hash")
+        .where(F.log(total / F.greatest(n_e, n_t)) >= least - 1e-9)
+        .groupBy("entity", "term", "n_e", "n_t")
+        .agg(F.sum("n").alias("n_et"), F.count_distinct("context").alias("contexts"))
+        .join(windows, ["entity", "term"], "left")
     )
+    supported = (F.col("contexts") >= SUPPORT) | F.col("windows").isNotNull()
+    telling = stored(together.where(supported & (F.log(n_et * total / (n_e * n_t)) >= least)).select("term").distinct(), "pii-telling")
+    if telling.isEmpty():
+        added = rows.select("hash", F.expr("cast(null as array<struct<start: bigint, end: bigint>>)").alias("added")).limit(0)
+    else:
+        added = _everywhere(df, text_col, telling)
     as_text = F.transform("added", lambda s: F.concat_ws(":", F.lit("term"), s["start"], s["end"]))
     parts = F.concat(F.when(F.col("base") != "", F.array("base")).otherwise(F.array()), F.coalesce(as_text, F.array()))
-    return rows.drop("near").join(added, "hash", "left").select("id", "hash", *[f"n_{k}" for k in KINDS], "base", F.array_join(parts, ",").alias("spans"))
+    return rows.drop("near", "words").join(added, "hash", "left").select("id", "hash", *[f"n_{k}" for k in KINDS], "base", F.array_join(parts, ",").alias("spans"))
 
 
 LABELS = {**{k: f"<{k}>" for k in KINDS}, "term": "<term>"}

@@ -94,3 +94,16 @@ def test_sanitised_texts(spark, hostile):
     changed = {r["doc_id"] for r in odd.join(hostile, [F.coalesce(odd["text"], F.lit("")) == F.coalesce(hostile["text"], F.lit(""))], "left_anti").collect()}
     assert changed == {8}
     assert pii.replaced("0123456789", "email:2:5,ip:4:6,term:8:9") == "01<email>67<term>9"
+
+
+def test_disclosing_terms_are_marked_wherever_they_stand(spark):
+    """The term is told by documents, not by a window: far from the entity, in another line, and where no entity stands."""
+    gap = " ".join(["the report of nobody said"] * 4)
+    rows = [(i, f"start{chr(97 + i)} agent jane@corp.example said{chr(97 + i)}.\n{gap}. Wolfsburg works, {gap} wolfsburg") for i in range(8)]
+    rows += [(50, f"no address here but wolfsburg and {gap}")] + [(100 + i, f"agent {gap} works here no address but and start") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["id"]: r["spans"] for r in pii.find(table).collect()}
+    for i, text in rows:
+        named = [text[int(a) : int(b)].lower() for k, a, b in (s.split(":") for s in found[i].split(",") if s) if k == "term"]
+        assert named == ["wolfsburg"] * text.lower().count("wolfsburg")
+    assert "wolfsburg" not in "".join(r["text"].lower() for r in pii.sanitise(table).collect())
