@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mendframe.llm import bpe, fingerprint, langid, licences, mixing, near_embeddings, ngram_lm, pii, simhash, token_counts
+from mendframe.llm import bpe, decontaminate, fingerprint, langid, licences, mixing, near_embeddings, ngram_lm, periodic, pii, simhash, token_counts
 from mendframe.llm.common import ship
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,34 @@ def op10_lm(spark, sf_dir):
     """Scores of all documents under the model of those that are not held out."""
     found = ngram_lm.score(table(spark, sf_dir, "documents"), ngram_lm.every_fifth())
     return found.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op12_decontamination(spark, sf_dir):
+    """Benchmark passages in all documents."""
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+ORACLES["op12_decontamination"] = decontaminate.oracle()
+
+
+@query
+def op13_runs(spark, sf_dir):
+    """Periodic runs of all documents, one of ten with a tail that repeats itself."""
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), edit=periodic.looped)
+    longest = "array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))"
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    found = found.select("*", F.expr(longest).alias("longest"), listed.alias("listed"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("longest.length * 1000 div -longest.period").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
