@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mendframe.llm import bpe, decontaminate, fingerprint, langid, licences, mixing, near_embeddings, ngram_lm, periodic, pii, simhash, token_counts
+from mendframe.llm import bpe, conversations, decontaminate, fingerprint, langid, licences, mixing, near_embeddings, ngram_lm, periodic, pii, simhash, token_counts
 from mendframe.llm.common import ship
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,14 @@ def op10_lm(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query
+def op11_conversations(spark, sf_dir):
+    """Faults and cheapest repairs of all conversations, damaged by a rule."""
+    damaged = conversations.damaged(table(spark, sf_dir, "conversations"))
+    found = conversations.repair_conversations(damaged, present_col="present").conversations
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 @query
 def op12_decontamination(spark, sf_dir):
     """Benchmark passages in all documents."""
