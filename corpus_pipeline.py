@@ -23,13 +23,24 @@ MIX = mixing.Target(entropy=0.9)
 ORACLE_SQL = None
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Texts go to Python in batches of so many rows and bytes, whichever comes first: a worker and its executor hold a
+#: few MB for each evaluation instead of 10,000 texts.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
+
+
 def stage(fn):
-    """A stage whose package the executors have."""
+    """A stage whose package the executors have, and which other columns than those of documents pass under names of their own."""
 
     @functools.wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship(spark)
-        return fn(spark, docs, sf_dir)
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
+        inside = {f"passing_{i}_": c for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        names = {c: n for n, c in inside.items()}
+        out = fn(spark, docs.toDF(*[names.get(c, c) for c in docs.columns]), sf_dir)
+        return out.toDF(*[inside.get(c, c) for c in out.columns])
 
     return run_stage
 
