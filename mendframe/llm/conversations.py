@@ -343,7 +343,8 @@ def repair_conversations(
 
     kind = f"""cid string, conv {conv_type}, gaps long, illegal long, cost long, audit string,
         path array<struct<task int, number long, state int, part string>>, blank long, duplicate long, truncated long"""
-    chained = stored(tables.drop("rows").groupBy("cid").applyInArrow(over(_chained, kind), kind), "chains")
+    schema = to_arrow_schema(T._parse_datatype_string(kind))
+    chained = stored(tables.drop("rows").groupBy("cid").applyInArrow(lambda t: _chained(t, schema), kind), "chains")
     steps = chained.select("cid", F.explode("path").alias("p")).select("cid", "p.*")
     kind = f"cid string, conv {conv_type}, task int, number long, rows {ROWS}"
     pieces = tables.select("cid", "conv", "task", "number", "rows").join(steps, ["cid", "task", "number"]).mapInArrow(over(_pieces, kind), kind)

@@ -54,10 +54,22 @@ def test_odd_tables(spark, folder, request, which):
         docs.count()
 
 
+def test_columns_of_the_same_names_as_the_operators_pass(spark, folder):
+    extra = ["language", "language_p", "weight", "epoch", "copies", "n_tokens", "id", "component", "fingerprint", "text_hash"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 60")
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id")) for c in extra}).cache()
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder).cache()
+        assert docs.columns == columns, name
+        wrong = " or ".join(f"{c} is null or {c} <> concat('{c}-', doc_id)" for c in extra)
+        assert docs.count() and docs.where(wrong).isEmpty(), name
+
+
 def test_entry_without_the_subpackage(monkeypatch):
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in entry.queries()} and "pipeline" in entry.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in entry.queries()} and "pipeline" in entry.queries()
     for name in [n for n in sys.modules if n.startswith("mendframe.llm") or n == "corpus_pipeline"]:
         monkeypatch.delitem(sys.modules, name)
     monkeypatch.setitem(sys.modules, "mendframe.llm", None)
