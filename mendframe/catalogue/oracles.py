@@ -338,6 +338,30 @@ SELECT p_partkey, {shown} AS shown, {pick('stratum', fixed.DEFAULT_STRATUM)}, CA
 FROM p LEFT JOIN t1 ON upper(nombre) = t1.name LEFT JOIN t2 ON codigo = t2.code LEFT JOIN places ON upper(nombre) = places.name"""
 
 
+def conformal_sql(fitted: str, last: str) -> str:
+    """Out-of-fold means of orders, bins of the fitted rows' predictions and their radii, then `last`."""
+    edges = ", ".join(f"QUANTILE_CONT(p, {i / 4}E0) AS e{i}" for i in (1, 2, 3))
+    return f"""WITH base AS (
+ SELECT o_orderkey, o_orderpriority || '|' || o_orderstatus AS g, CASE WHEN o_orderkey % 19 <> 0 THEN o_totalprice END AS y,
+  CAST('0x' || SUBSTRING(MD5(CAST(o_orderkey AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 5 AS fold
+ FROM orders
+), cells AS (SELECT g, fold, COALESCE(SUM(y), 0) AS s, COUNT(y) AS n FROM base GROUP BY 1, 2),
+totals AS (SELECT g, SUM(s) AS s, SUM(n) AS n FROM cells GROUP BY 1),
+whole AS (SELECT SUM(s) AS s, SUM(n) AS n FROM cells), by_fold AS (SELECT fold, SUM(s) AS s, SUM(n) AS n FROM cells GROUP BY 1),
+predicted AS MATERIALIZED (
+ SELECT o_orderkey, y, fold, ROUND(CASE WHEN y IS NULL THEN COALESCE(t.s / NULLIF(t.n, 0), w.s / w.n)
+  ELSE COALESCE((t.s - c.s) / NULLIF(t.n - c.n, 0), (w.s - f.s) / (w.n - f.n)) END, 6) AS p
+ FROM base JOIN totals t USING (g) JOIN cells c USING (g, fold) JOIN by_fold f USING (fold), whole w
+), edges AS MATERIALIZED (SELECT {edges} FROM predicted WHERE y IS NOT NULL AND {fitted}),
+binned AS MATERIALIZED (
+ SELECT o_orderkey, y, p, fold, ABS(y - p) AS res, CAST(p > e1 AS INTEGER) + CAST(p > e2 AS INTEGER) + CAST(p > e3 AS INTEGER) AS bin FROM predicted, edges
+), ranked AS (
+ SELECT bin, res, ROW_NUMBER() OVER (PARTITION BY bin ORDER BY res) AS k, COUNT(*) OVER (PARTITION BY bin) AS n
+ FROM binned WHERE y IS NOT NULL AND {fitted}
+), radii AS MATERIALIZED (SELECT bin, ANY_VALUE(n) AS n, MIN(res) FILTER (WHERE k = CEIL((n + 1) * 0.9E0)) AS radius FROM ranked GROUP BY 1)
+{last}"""
+
+
 def build() -> dict[str, str]:
     listed = ", ".join(PROPERTY_COLUMNS)
     pairs = list(combinations(PROPERTY_COLUMNS, 2))
@@ -823,6 +847,34 @@ FROM properties WHERE tipo_construccion IS NOT NULL GROUP BY 1"""
         )
     sql["impute_chain"] = sql["impute_contract"]
 
+    sql["conformal_bins"] = conformal_sql(
+        "fold <> 0",
+        """SELECT bin, ROUND(CASE bin WHEN 1 THEN e1 WHEN 2 THEN e2 WHEN 3 THEN e3 END, 6) AS low,
+ ROUND(CASE bin WHEN 0 THEN e1 WHEN 1 THEN e2 WHEN 2 THEN e3 END, 6) AS high, n AS rows, ROUND(radius, 6) AS radius,
+ COALESCE(held_rows, 0) AS held_rows, ROUND(covered, 6) AS covered FROM radii LEFT JOIN (
+  SELECT bin, COUNT(*) AS held_rows, AVG(CASE WHEN res <= radius THEN 1.0E0 ELSE 0.0E0 END) AS covered
+  FROM binned JOIN radii USING (bin) WHERE y IS NOT NULL AND fold = 0 GROUP BY 1
+ ) t USING (bin), edges""",
+    )
+    sql["fill_intervals"] = conformal_sql(
+        "TRUE",
+        """SELECT o_orderkey, ROUND(p, 4) AS predicted, ROUND(COALESCE(y, p), 4) AS price,
+ CASE WHEN y IS NULL THEN ROUND(p - radius, 4) END AS lower, CASE WHEN y IS NULL THEN ROUND(p + radius, 4) END AS upper
+FROM binned JOIN radii USING (bin)""",
+    )
+    sql["level_changes"] = """WITH RECURSIVE daily AS (
+ SELECT STRFTIME(ts, '%Y-%m-%d') AS run, event_type AS metric, ROUND(AVG(value), 6) AS value FROM events GROUP BY 1, 2
+), numbered AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER (PARTITION BY metric ORDER BY run) AS n FROM daily WHERE value IS NOT NULL),
+base AS MATERIALIZED (SELECT metric, AVG(value) AS centre, STDDEV_SAMP(value) AS sd FROM numbered WHERE n <= 10 GROUP BY 1),
+z AS MATERIALIZED (SELECT metric, run, value, n, centre, (value - centre) / sd AS z FROM numbered JOIN base USING (metric)),
+sums AS (
+ SELECT metric, run, value, n, centre, GREATEST(0, z - 0.5) AS up, GREATEST(0, -z - 0.5) AS down FROM z WHERE n = 1
+ UNION ALL
+ SELECT z.metric, z.run, z.value, z.n, z.centre, GREATEST(0, up + z.z - 0.5), GREATEST(0, down - z.z - 0.5)
+ FROM sums JOIN z ON z.metric = sums.metric AND z.n = sums.n + 1
+)
+SELECT run, metric, value, ROUND(centre, 6) AS centre, ROUND(up, 6) AS up, ROUND(down, 6) AS down, up > 4 OR down > 4 AS alarm FROM sums"""
+
     sql["csv_roundtrip"] = """SELECT *, CASE c_custkey % 7 WHEN 0 THEN '  padded ' || c_name || chr(9) || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL
  WHEN 3 THEN 'say "' || c_name || '", twice, "x"'
  WHEN 4 THEN 'first line' || chr(10) || 'second ' || c_name || chr(13) || chr(10) || chr(10) || 'last'

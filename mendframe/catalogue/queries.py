@@ -19,7 +19,7 @@ from mendframe.functions import buckets
 from mendframe.functions.columns import quoted
 from mendframe.functions.numeric import percent
 from mendframe.functions.text import title
-from mendframe.operators import clean, duplicates, encoding, enrich, evaluate, health, models, profile, rules, splits
+from mendframe.operators import clean, duplicates, encoding, enrich, evaluate, health, intervals, models, profile, rules, splits
 from mendframe.plans import cleaning, full_run, imputation, neighbourhoods
 from mendframe.plans.profiling import profile_table
 from mendframe.roles import PROPERTY_ROLES, PROPERTY_SCHEMA
@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 ROLES = PROPERTY_ROLES
 SMALL_MODELS = models.Settings(
-    trees=6, forest_depth=5, rounds=3, boost_depth=3, boost_class_depth=3, parallelism=8
+    trees=8, forest_depth=5, rounds=4, boost_depth=3, boost_class_depth=3, parallelism=8
 )
 EVENT_FENCES = (-50.0, 200.0)
 REGISTRY: dict[str, Query] = {}
@@ -455,6 +455,38 @@ def quality_trend(spark, sf_dir):
     return rounded(health.quality_trend(daily))
 
 
+@query
+def level_changes(spark, sf_dir):
+    """Cumulative sums of the daily mean of each kind of event."""
+    daily = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.date_format("ts", "yyyy-MM-dd").alias("run"), F.col("event_type").alias("metric"))
+        .agg(F.round(F.avg("value"), 6).alias("value"))
+    )
+    return rounded(health.level_changes(daily))
+
+
+def priced_orders(spark, sf_dir):
+    """Orders with out-of-fold prices; one order of 19 has no price."""
+    price = F.when(F.col("o_orderkey") % 19 != 0, F.col("o_totalprice")).alias("price")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", price)
+    return intervals.out_of_fold_means(orders, "o_orderkey", ["o_orderpriority", "o_orderstatus"], "price")
+
+
+@query
+def conformal_bins(spark, sf_dir):
+    """Radii of 90 % intervals by bins of predictions, with their coverage of a fold that was kept out."""
+    return rounded(intervals.conformal_bins(priced_orders(spark, sf_dir), "price", held=F.col("fold") == 0))
+
+
+@query
+def fill_intervals(spark, sf_dir):
+    """Prices with their gaps filled and the interval of each fill."""
+    orders = priced_orders(spark, sf_dir)
+    bins = intervals.conformal_bins(orders, "price")
+    return rounded(intervals.fill_with_intervals(orders, "price", bins).drop("fold", "o_orderpriority", "o_orderstatus"), 4)
+
+
 @query
 def four_part_score(spark, sf_dir):
     return rounded(

@@ -73,14 +73,23 @@ def order_statistics(
 
 def _narrowed(df: DataFrame, series: Mapping[str, Column], ranges: Sequence[Range]) -> list:
     """For every range the narrower one that holds its rank, or its key and the value found."""
-    margin, ends = 2 / ACCURACY, []
-    for i, r in enumerate(ranges):
+    margin, wanted = 2 / ACCURACY, {}
+    for r in ranges:
         share = (r.rank - r.below) / r.inside
-        values = r.values(series[r.name])
-        low = F.percentile_approx(values, share - margin, ACCURACY) if share > margin else F.min(values)
-        high = F.percentile_approx(values, share + margin, ACCURACY) if share + margin < 1 else F.max(values)
-        ends += [low.alias(f"low{i}"), high.alias(f"high{i}")]
-    bounds = df.agg(*ends).first()
+        wanted.setdefault((r.name, r.low, r.high), []).extend(s for s in (share - margin, share + margin) if 0 < s < 1)
+    # one sketch for all ranks of a series between the same bounds
+    ends, first = [], {(r.name, r.low, r.high): r for r in ranges}
+    for i, (group, shares) in enumerate(wanted.items()):
+        values = first[group].values(series[group[0]])
+        ends += [F.min(values).alias(f"min{i}"), F.max(values).alias(f"max{i}")]
+        if shares:
+            ends.append(F.percentile_approx(values, sorted(set(shares)), ACCURACY).alias(f"at{i}"))
+    row, bounds = df.agg(*ends).first().asDict(), {}
+    at = {group: (i, dict(zip(sorted(set(shares)), row.get(f"at{i}") or [], strict=False))) for i, (group, shares) in enumerate(wanted.items())}
+    for i, r in enumerate(ranges):
+        share, (k, found) = (r.rank - r.below) / r.inside, at[(r.name, r.low, r.high)]
+        bounds[f"low{i}"] = found[share - margin] if share > margin else row[f"min{k}"]
+        bounds[f"high{i}"] = found[share + margin] if share + margin < 1 else row[f"max{k}"]
     counts = []
     for i, r in enumerate(ranges):
         values, low, high = r.values(series[r.name]), F.lit(bounds[f"low{i}"]), F.lit(bounds[f"high{i}"])
