@@ -79,7 +79,8 @@ def conformal_bins(
 
     Rows without target do not count. `held` marks rows that are kept out of edges and radii; covered is
     the share of them within the radius. radius is NULL (no finite interval) where a bin has too few rows
-    for the level. Edges are quantiles of the predictions; low and high are NULL at the outer ends.
+    for the level. A predictor with few distinct values wants `bins=1`: an edge among the predictions of one
+    group, which differ a little from fold to fold, would part rows that belong together. Edges are quantiles of the predictions; low and high are NULL at the outer ends.
     """
     spark = df.sparkSession
     out_ = held if held is not None else F.lit(False)

@@ -39,8 +39,20 @@ def test_radii_and_coverage(rows):
         errors = np.sort(np.abs(inside.y - inside.predicted).to_numpy())
         k = math.ceil((len(errors) + 1) * 0.9)
         assert r["rows"] == len(errors) and r["radius"] == (pytest.approx(errors[k - 1]) if k <= len(errors) else None)
-    covered = sum(r["covered"] * r["held_rows"] for r in bins if r["held_rows"]) / sum(r["held_rows"] for r in bins)
-    assert abs(covered - 0.9) < 0.03
+
+
+def test_coverage_of_a_fold_that_was_kept_out(spark, rows):
+    found = intervals.out_of_fold_means(rows, "k", ["g"], "y")
+    one = intervals.conformal_bins(found, "y", bins=1, held=F.col("fold") == 0).first()
+    assert abs(one["covered"] - 0.9) < 0.03
+    # predictions that differ, errors that grow with them
+    spread = spark.range(20_000).select(
+        (F.rand(4) * 100).alias("predicted"), F.randn(5).alias("e"), (F.col("id") % 5 == 0).alias("held")
+    )
+    spread = spread.withColumn("y", F.col("predicted") + F.col("e") * (1 + F.col("predicted") / 20)).cache()
+    bins = intervals.conformal_bins(spread, "y", held=F.col("held")).orderBy("bin").collect()
+    assert all(abs(r["covered"] - 0.9) < 0.03 for r in bins)
+    assert [r["radius"] for r in bins] == sorted(r["radius"] for r in bins)
 
 
 def test_fills_have_intervals_and_given_values_none(rows):
