@@ -846,6 +846,9 @@ FROM properties WHERE tipo_construccion IS NOT NULL GROUP BY 1"""
             f"SELECT id_predio, {c} AS kept, CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {flag}, 1 AS whole, 1 AS best FROM cleaned"
         )
     sql["impute_chain"] = sql["impute_contract"]
+    known = "(SELECT id_predio, tipo_construccion FROM cleaned WHERE tipo_construccion IS NOT NULL) p"
+    sql["boosted_classes"] = CLEAN + f"""SELECT tipo_construccion AS label, COUNT(*) AS n, 0 AS broken, MAX(COUNT(*)) OVER () AS commonest,
+ 1 AS falls, 1 AS beats FROM ({split_sql(known, "id_predio", "tipo_construccion", "FLOOR(n * 0.2)")}) s WHERE is_test = 1 GROUP BY 1"""
 
     sql["conformal_bins"] = conformal_sql(
         "fold <> 0",

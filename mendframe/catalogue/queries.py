@@ -6,9 +6,13 @@ in their last digits between engines.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +23,7 @@ from mendframe.functions import buckets
 from mendframe.functions.columns import quoted
 from mendframe.functions.numeric import percent
 from mendframe.functions.text import title
-from mendframe.operators import clean, duplicates, encoding, enrich, evaluate, health, intervals, models, profile, rules, splits
+from mendframe.operators import boosting, clean, duplicates, encoding, enrich, evaluate, health, intervals, models, profile, rules, splits
 from mendframe.plans import cleaning, full_run, imputation, neighbourhoods
 from mendframe.plans.profiling import profile_table
 from mendframe.roles import PROPERTY_ROLES, PROPERTY_SCHEMA
@@ -902,6 +906,47 @@ def impute_confidence(spark, sf_dir):
     ).agg(F.count("*").alias("n"))
 
 
+@query
+def boosted_classes(spark, sf_dir):
+    """Held-out rows of the class column with what SQL can check of the boosted probabilities.
+
+    `whole`: the probabilities are between 0 and 1, sum to 1, and the prediction has the largest;
+    `falls`: the log loss fell in every round; `beats`: more held-out rows are right than
+    there are rows of the commonest class (`commonest`).
+    """
+    target = ROLES.targets[2]
+    known = stored_properties(spark, sf_dir).filter(quoted(target.column).isNotNull())
+    rows = splits.stratified_split(known, ROLES.key, target.column)
+    training, held = rows.filter("is_test = 0"), rows.filter("is_test = 1")
+    encoder = encoding.fit_encoders(training, target.categories, target.numbers, 0)[None]
+    labels = sorted(r[0] for r in training.select(target.column).distinct().collect())
+    indexer = StringIndexerModel.from_labels(labels, target.column, "label", handleInvalid="error")
+    booster = boosting.SoftmaxBoosting(
+        len(labels), rounds=SMALL_MODELS.rounds, depth=SMALL_MODELS.boost_class_depth, step=0.3, track=True
+    )
+    model = Pipeline(stages=[indexer, *encoder.stages(), booster]).fit(encoder.mark_seen(training))
+    falls = all(b < a for a, b in itertools.pairwise(booster.losses))
+    p, chosen = F.col("p"), F.col("prediction").cast("int")
+    scored = model.transform(encoder.mark_seen(held)).withColumn("p", vector_to_array("probability"))
+    total = F.aggregate(p, F.lit(0.0), lambda a, b: a + b)
+    whole = (F.abs(total - 1) < 1e-9) & F.forall(p, lambda x: x.between(0, 1)) & (p[chosen] == F.array_max(p))
+    by_class = materialized(
+        scored.groupBy(target.column).agg(
+            F.count("*").alias("n"), F.count_if(chosen == F.col("label")).alias("hits"), F.count_if(~whole).alias("broken")
+        ),
+        "boosted",
+    )
+    hits, commonest = by_class.agg(F.sum("hits"), F.max("n")).first()
+    return by_class.select(
+        F.col(target.column).alias("label"),
+        "n",
+        "broken",
+        F.lit(commonest).alias("commonest"),
+        F.lit(int(falls)).alias("falls"),
+        F.lit(int((hits or 0) > (commonest or 0))).alias("beats"),
+    )
+
+
 def _chain_held(data: DataFrame) -> DataFrame:
     whole = F.lit(True)
     for t in ROLES.targets:
