@@ -878,6 +878,27 @@ sums AS (
 )
 SELECT run, metric, value, ROUND(centre, 6) AS centre, ROUND(up, 6) AS up, ROUND(down, 6) AS down, up > 4 OR down > 4 AS alarm FROM sums"""
 
+    gaps = "(SELECT event_type, ts, CASE WHEN event_id % 23 <> 0 THEN value END AS value, CAST(user_id AS DOUBLE) AS user_id FROM events) e"
+    sql["sketched_months"] = union([
+        f"""SELECT STRFTIME(ts, '%Y-%m') AS month, event_type, '{c}' AS "column", COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls,
+ ROUND(100.0E0 * (COUNT(*) - COUNT({c})) / COUNT(*), 6) AS null_percent, COUNT(*) FILTER (WHERE {c} = 0) AS zeros,
+ ROUND(MIN({c}), 6) AS min, ROUND(MAX({c}), 6) AS max, ROUND(AVG({c}), 6) AS mean, ROUND(STDDEV_SAMP({c}), 6) AS std,
+ COUNT({c}) AS sketched FROM {gaps} GROUP BY 1, 2"""
+        for c in ("value", "user_id")
+    ])
+    sql["sketch_errors"] = union([
+        f"""SELECT '{c}' AS "column", rank, (SELECT COUNT(DISTINCT {c}) FROM {gaps}) AS distinct_values, 1 AS distinct_held,
+ 1 AS rank_held FROM (VALUES (0.25E0), (0.5E0), (0.75E0)) r (rank)"""
+        for c in ("value", "user_id")
+    ])
+
+    # two nested patterns: the likelihood has a closed form, and only the column without gaps tells them apart
+    sql["missing_mechanism"] = RAW + """, groups AS (
+ SELECT area_construida IS NULL AS gap, COUNT(*) AS n, AVG(avaluo_total) AS m FROM properties GROUP BY 1
+), overall AS (SELECT AVG(avaluo_total) AS m0, VAR_POP(avaluo_total) AS v0 FROM properties),
+test AS (SELECT CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS patterns, SUM(n * (m - m0) * (m - m0) / v0) AS statistic FROM groups, overall)
+SELECT rows, patterns, ROUND(statistic, 4) AS statistic, 1 AS degrees, CASE WHEN statistic > 3.841458820694124E0 THEN 1 ELSE 0 END AS rejected FROM test"""
+
     sql["csv_roundtrip"] = """SELECT *, CASE c_custkey % 7 WHEN 0 THEN '  padded ' || c_name || chr(9) || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL
  WHEN 3 THEN 'say "' || c_name || '", twice, "x"'
  WHEN 4 THEN 'first line' || chr(10) || 'second ' || c_name || chr(13) || chr(10) || chr(10) || 'last'
@@ -885,6 +906,10 @@ SELECT run, metric, value, ROUND(centre, 6) AS centre, ROUND(up, 6) AS up, ROUND
     sql["geojson_roundtrip"] = """SELECT p_name AS nombre, CAST(p_partkey AS VARCHAR) AS codigo, p_retailprice AS area,
  CAST(p_partkey AS DOUBLE) AS lon, CAST(p_size AS DOUBLE) AS lat FROM part"""
     sql["sample_generator"] = sample_sql()
+    sql["keyed_stream"] = """SELECT user_id, COUNT(*) AS rows, COUNT(*) - COUNT(v) AS nulls, ROUND(AVG(v) + 1.0E-9, 6) AS mean, ROUND(STDDEV_SAMP(v), 6) AS std,
+ ROUND(MIN(v), 6) AS low, ROUND(MAX(v), 6) AS high, STRFTIME(MIN(ts), '%Y-%m-%d %H:%M:%S') AS "first",
+ STRFTIME(MAX(ts), '%Y-%m-%d %H:%M:%S') AS "last", CASE WHEN COUNT(*) > 1 THEN 1 ELSE 0 END AS repeated
+FROM (SELECT *, CASE WHEN event_id % 11 <> 0 THEN value END AS v FROM events) e GROUP BY 1"""
     outside = "(value < -50 OR value > 200)"
     sql["stream_quality"] = f"""SELECT STRFTIME(ts, '%Y-%m-%d') AS window_start, event_type, COUNT(*) AS rows,
  COUNT(*) FILTER (WHERE value IS NULL) AS nulls, COUNT(*) FILTER (WHERE value = 0) AS zeros,

@@ -6,6 +6,7 @@ in their last digits between engines.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import uuid
 from collections.abc import Callable
@@ -23,13 +24,13 @@ from mendframe.functions import buckets
 from mendframe.functions.columns import quoted
 from mendframe.functions.numeric import percent
 from mendframe.functions.text import title
-from mendframe.operators import boosting, clean, duplicates, encoding, enrich, evaluate, health, intervals, models, profile, rules, splits
+from mendframe.operators import boosting, clean, duplicates, encoding, enrich, evaluate, health, intervals, missingness, models, profile, rules, sketches, splits
 from mendframe.plans import cleaning, full_run, imputation, neighbourhoods
 from mendframe.plans.profiling import profile_table
 from mendframe.roles import PROPERTY_ROLES, PROPERTY_SCHEMA
 from mendframe.session import materialized, shared_checkpoint_dir
 from mendframe.sources import readers, sample, writers
-from mendframe.streaming import monitor
+from mendframe.streaming import keyed, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +127,14 @@ def missing_corr(spark, sf_dir):
     return rounded(profile.missingness_correlation(property_table(spark, sf_dir)))
 
 
+@query
+def missing_mechanism(spark, sf_dir):
+    """Whether values are missing completely at random: Little's statistic over the numbers of the properties."""
+    numbers = ["avaluo_total", "area_construida", "puntaje"]
+    test = missingness.missing_at_random(property_table(spark, sf_dir), numbers)
+    return rounded(test.select("rows", "patterns", "statistic", "degrees", (F.col("p_value") < 0.05).cast("int").alias("rejected")), 4)
+
+
 @query
 def correlations(spark, sf_dir):
     return rounded(profile.correlation_matrix(property_table(spark, sf_dir)))
@@ -459,6 +468,42 @@ def quality_trend(spark, sf_dir):
     return rounded(health.quality_trend(daily))
 
 
+def daily_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored sketches of a value and a key per day and kind of event, written in two runs that overlap."""
+    events = table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 23 != 0, F.col("value")))
+    path = scratch(spark, "sketches")
+    day, columns = F.date_format("ts", "yyyy-MM-dd"), ["value", "user_id"]
+    sketches.add_periods(spark, path, events.filter(F.dayofmonth("ts") <= 15), day, columns, ["event_type"])
+    sketches.add_periods(spark, path, events, day, columns, ["event_type"])
+    return spark.read.parquet(path)
+
+
+@query
+def sketched_months(spark, sf_dir):
+    """Months by merging the stored days; `sketched` is the number of values that the quantile sketch holds."""
+    months = daily_sketches(spark, sf_dir).withColumn("month", F.substring("period", 1, 7))
+    merged = sketches.merge_sketches(months, ["month", "event_type"])
+    profiled = sketches.sketch_profile(merged).drop("q25", "q50", "q75", "distinct")
+    held = merged.select("month", "event_type", "column", F.kll_sketch_get_n_double("quantiles").alias("sketched"))
+    return rounded(profiled.join(held, ["month", "event_type", "column"]))
+
+
+@query
+def sketch_errors(spark, sf_dir):
+    """Quantiles and distinct counts of all days merged: 1 where they lie within the bounds of the sketches."""
+    profiled = materialized(sketches.sketch_profile(sketches.merge_sketches(daily_sketches(spark, sf_dir))), "sketched")
+    events = table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 23 != 0, F.col("value")))
+    names = ["value", "user_id"]
+    errors = functools.reduce(DataFrame.unionByName, [sketches.rank_errors(events, profiled, c) for c in names])
+    exact = events.agg(*[F.count_distinct(c).alias(c) for c in names]).unpivot([], names, "column", "exact")
+    off = F.abs(F.col("distinct") - F.col("exact")) / F.greatest(F.col("exact"), F.lit(1))
+    counted = profiled.join(exact, "column").select("column", "exact", (off <= sketches.DISTINCT_ERROR).cast("int").alias("distinct_held"))
+    return errors.join(counted, "column").select(
+        "column", "rank", F.col("exact").alias("distinct_values"), "distinct_held",
+        (F.col("error") <= sketches.RANK_ERROR).cast("int").alias("rank_held"),
+    )
+
+
 @query
 def level_changes(spark, sf_dir):
     """Cumulative sums of the daily mean of each kind of event."""
@@ -1041,3 +1086,23 @@ def stream_quality(spark, sf_dir):
     latest = monitor.latest_windows(spark.read.parquet(f"{folder}/table"), by=["event_type"])
     start = F.to_utc_timestamp("window_start", F.current_timezone())
     return rounded(latest.withColumn("window_start", F.date_format(start, "yyyy-MM-dd")))
+
+
+@query
+def keyed_stream(spark, sf_dir):
+    """Moments of every user from a stream that is stopped once; each arriving third holds all days, the last one late."""
+    events = table(spark, sf_dir, "events")
+    folder = scratch(spark, "keyed")
+    value = F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value")
+    rows = events.select("event_id", "ts", "user_id", value)
+    for part in range(3):
+        rows.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{folder}/in")
+        if part:  # two thirds in the first run, the rest after a restart
+            arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{folder}/in")
+            versions = keyed.running_moments(arriving, ["user_id"], "ts", "value")
+            keyed.run_available(versions, f"{folder}/table", f"{folder}/checkpoint")
+    merged = keyed.merged_moments(spark.read.parquet(f"{folder}/table"), ["user_id"])
+    utc = lambda c: F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+    # values have two decimals, so some means lie half way between two rounded ones: these go up in any engine
+    merged = merged.withColumn("mean", F.col("mean") + F.lit(1e-9))
+    return rounded(merged.withColumns({"first": utc("first"), "last": utc("last"), "repeated": F.col("repeated").cast("int")}))

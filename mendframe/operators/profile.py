@@ -14,6 +14,7 @@ from mendframe.functions.columns import melt, numeric_columns, quoted, string_co
 from mendframe.functions.numeric import percent
 from mendframe.operators.duplicates import null_name, table_health
 from mendframe.operators.quantiles import MAX_RANGE_ROWS, exact_quantiles, present
+from mendframe.operators.sketches import sketched_quantiles
 from mendframe.session import temporary
 
 PAIRS_PER_SCAN = 300
@@ -87,13 +88,14 @@ def beyond_fences(c: Column, fences: tuple[float, float]) -> Column:
 
 
 def numeric_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, max_rows: int = MAX_RANGE_ROWS
+    df: DataFrame, columns: Sequence[str] | None = None, max_rows: int = MAX_RANGE_ROWS, approximate: bool = False
 ) -> DataFrame:
     """Distribution, zeros, negatives, outliers and reliability of every numeric column with values.
 
     The numeric columns are stored once for the scans of moments and exact quartiles; outliers beyond
     the resulting fences are counted from the input. Only scalars per column pass through the driver.
-    NaN counts as NULL.
+    NaN counts as NULL. With `approximate` the quartiles come from one scan of mergeable sketches:
+    values of the data within the sketch's rank error, and fences and outliers that follow from them.
     """
     columns = list(columns if columns is not None else numeric_columns(df))
     if not columns:
@@ -101,12 +103,11 @@ def numeric_profile(
     with temporary(df.select(*[quoted(c) for c in columns]), "numbers") as numbers:
         statistics = numeric_statistics(numbers, columns)
         columns = [c for c in columns if statistics[c]["count"]]
-        quartiles = exact_quantiles(
-            numbers,
-            {c: (0.25, 0.5, 0.75) for c in columns},
-            {c: statistics[c]["count"] for c in columns},
-            max_rows=max_rows,
-        )
+        wanted = {c: (0.25, 0.5, 0.75) for c in columns}
+        if approximate:
+            quartiles = sketched_quantiles(numbers, wanted)
+        else:
+            quartiles = exact_quantiles(numbers, wanted, {c: statistics[c]["count"] for c in columns}, max_rows=max_rows)
     if not columns:
         return df.sparkSession.createDataFrame([], NUMERIC_PROFILE_SCHEMA)
     fences = {
