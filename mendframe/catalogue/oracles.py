@@ -292,6 +292,26 @@ def category_cap_sql() -> str:
 WHERE rank <= CASE WHEN distinct_values > 50 THEN 49 ELSE 50 END"""
 
 
+def dependencies_sql(source: str, columns: list[str], tolerance: float) -> str:
+    """Single determinants, then pairs where neither column alone determines the dependent."""
+
+    def violations(left: list[str], right: str) -> str:
+        return f"""SELECT '{",".join(left)}' AS determinant, '{right}' AS dependent, COUNT(*) AS groups, CAST(SUM(n - top) AS BIGINT) AS violations,
+ ROUND(100.0E0 * SUM(n - top) / SUM(n), 6) AS percent, CASE WHEN 100.0E0 * SUM(n - top) / SUM(n) <= {tolerance} THEN 1 ELSE 0 END AS holds
+FROM (SELECT SUM(n) AS n, MAX(n) AS top FROM (SELECT {", ".join(left)}, {right}, COUNT(*) AS n FROM {source} GROUP BY ALL) c GROUP BY {", ".join(left)}) g"""
+
+    singles = [violations([a], b) for a in columns for b in columns if a != b]
+    pairs = [
+        f"""SELECT p.* FROM ({violations([a, b], c)}) p
+WHERE NOT EXISTS (SELECT 1 FROM singles WHERE dependent = '{c}' AND determinant IN ('{a}', '{b}') AND holds = 1)"""
+        for i, a in enumerate(columns)
+        for b in columns[i + 1 :]
+        for c in columns
+        if c not in (a, b)
+    ]
+    return f"WITH singles AS MATERIALIZED ({union(singles)}) SELECT * FROM singles UNION ALL {union(pairs)}"
+
+
 def sample_sql() -> str:
     types = "CASE WHEN t < 0.25 THEN 'Residencial' WHEN t < 0.5 THEN 'Comercial' WHEN t < 0.75 THEN 'Mixto' ELSE 'Industrial' END"
     return f"""WITH groups AS (
@@ -899,6 +919,9 @@ SELECT run, metric, value, ROUND(centre, 6) AS centre, ROUND(up, 6) AS up, ROUND
 test AS (SELECT CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS patterns, SUM(n * (m - m0) * (m - m0) / v0) AS statistic FROM groups, overall)
 SELECT rows, patterns, ROUND(statistic, 4) AS statistic, 1 AS degrees, CASE WHEN statistic > 3.841458820694124E0 THEN 1 ELSE 0 END AS rejected FROM test"""
 
+    line = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity"]
+    sql["found_dependencies"] = dependencies_sql("lineitem", line, 1.0)
+
     sql["csv_roundtrip"] = """SELECT *, CASE c_custkey % 7 WHEN 0 THEN '  padded ' || c_name || chr(9) || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL
  WHEN 3 THEN 'say "' || c_name || '", twice, "x"'
  WHEN 4 THEN 'first line' || chr(10) || 'second ' || c_name || chr(13) || chr(10) || chr(10) || 'last'

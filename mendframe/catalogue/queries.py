@@ -24,7 +24,7 @@ from mendframe.functions import buckets
 from mendframe.functions.columns import quoted
 from mendframe.functions.numeric import percent
 from mendframe.functions.text import title
-from mendframe.operators import boosting, clean, duplicates, encoding, enrich, evaluate, health, intervals, missingness, models, profile, rules, sketches, splits
+from mendframe.operators import boosting, clean, dependencies, duplicates, encoding, enrich, evaluate, health, intervals, missingness, models, profile, rules, sketches, splits
 from mendframe.plans import cleaning, full_run, imputation, neighbourhoods
 from mendframe.plans.profiling import profile_table
 from mendframe.roles import PROPERTY_ROLES, PROPERTY_SCHEMA
@@ -269,6 +269,14 @@ def numeric_rules(spark, sf_dir):
     return clean.number_rule_counts(property_table(spark, sf_dir), ROLES)
 
 
+@query
+def found_dependencies(spark, sf_dir):
+    """Which columns of a line determine which, and how many lines break the rule."""
+    columns = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity"]
+    found = dependencies.functional_dependencies(table(spark, sf_dir, "lineitem"), columns, tolerance=1.0)
+    return rounded(found.withColumns({"determinant": F.array_join("determinant", ","), "holds": F.col("holds").cast("int")}))
+
+
 @query
 def null_out_of_range(spark, sf_dir):
     repaired = clean.repair_numbers(property_table(spark, sf_dir), ROLES)
