@@ -4,12 +4,14 @@ A paragraph is a stretch between line breaks or sentence ends; a text is the set
 64-bit digests. A sketch has three subtables of cells (count, xor of digests, xor of their check
 hashes); a digest adds to one cell of each. The fingerprint is such a sketch of fixed size, as text.
 
-Two versions are compared by subtracting sketches: what they share cancels, and peeling (a cell with
-count 1 or -1 whose check hash fits gives up its digest, which then leaves its other cells) recovers
-the digests that differ. Where peeling stalls, the digests are dealt over as many groups as keep a
-group small, by bits of the digest, and each group is tried again with a larger sketch, then a larger
-one, and in the end by comparing its digests. All of it is SQL on one row; a group is small, so the
-work grows with the number of paragraphs, not with its square.
+Two versions are compared by subtracting their sketches cell by cell: what they share cancels, and
+peeling (a cell with count 1 or -1 whose check hash fits gives up its digest, which then leaves its
+other cells) recovers the digests that differ, with the side they stand on. Fingerprints that were
+stored as text can be subtracted in the same way (`stored_difference`). Where peeling stalls, both
+versions get larger sketches: first a block of cells for every few digests, blocks being chosen by bits
+of the digest, then a block that stalls is rebuilt for both versions at twice the width, with new
+hashes, until it peels. All of it is SQL on one row; a block is small, so the work grows with the
+number of paragraphs, not with its square.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from pyspark.sql import functions as F
 PARAGRAPH = r"\n+|(?<=[.!?])\s+"
 WIDTH = 4
 GROUP = 5
-RETRIES = (4, 10, 40)
+#: A block that stalls 16 times doubles up to 2^18 cells a subtable; for some ten digests that is not reached.
+DOUBLINGS = 16
+FOUND = "array<struct<d:bigint,s:int>>"
 BUCKETS_PER_PARTITION = 4
 SIDE = 32
 
@@ -31,81 +35,102 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
-def _placed(digest: str, sign: str, check: str, width: int, retry: int) -> str:
-    """A digest with its sign, check hash and the cells of the three subtables; every retry hashes anew."""
-    mixed = digest if retry == 0 else f"xxhash64({digest}, {retry})"
-    places = ", ".join(f"{t * width} + pmod(shiftright({mixed}, {18 + 15 * t}), {width})" for t in range(3))
-    return f"named_struct('d', {digest}, 's', {sign}, 'h', {check}, 'c', array({places}))"
+def _places(digest: str, width: str, salt: str | None) -> str:
+    """A digest's cell in each of the three subtables; another salt hashes anew."""
+    mixed = digest if salt is None else f"xxhash64({digest}, {salt})"
+    places = ", ".join(f"{t} * {width} + pmod(shiftright({mixed}, {18 + 15 * t}), {width})" for t in range(3))
+    return f"array({places})"
 
 
-def cells(items: str, width: int, retry: int = 0) -> str:
-    """SQL: the sketch of an array of (d digest, s sign), as an array of (n, k, h)."""
-    placed = f"transform({items}, x -> {_placed('x.d', 'x.s', 'xxhash64(x.d)', width, retry)})"
-    return (
-        f"transform(array({placed}), y -> transform(sequence(0L, {3 * width - 1}L), c -> aggregate(filter(y, x -> array_contains(x.c, c)), "
-        "named_struct('n', 0, 'k', 0L, 'h', 0L), "
-        "(a, x) -> named_struct('n', a.n + x.s, 'k', a.k ^ x.d, 'h', a.h ^ x.h))))[0]"
+def sketch(digests: str, width: str = f"{WIDTH}L", salt: str | None = None) -> str:
+    """SQL: the sketch of an array of digests, as an array of (n, k, h)."""
+    placed = f"transform({digests}, d -> named_struct('d', d, 'h', xxhash64(d), 'c', {_places('d', width, salt)}))"
+    subtables = ", ".join(
+        f"transform(sequence({t} * {width}, {t + 1} * {width} - 1L), c -> aggregate(filter(y, x -> x.c[{t}] = c), "
+        "named_struct('n', 0, 'k', 0L, 'h', 0L), (a, x) -> named_struct('n', a.n + 1, 'k', a.k ^ x.d, 'h', a.h ^ x.h)))"
+        for t in range(3)
     )
+    return f"transform(array({placed}), y -> concat({subtables}))[0]"
 
 
-def _pure(table: str, width: int, retry: int) -> str:
-    found = (
-        f"array_distinct(transform(filter({table}, c -> abs(c.n) = 1 and xxhash64(c.k) = c.h), "
-        "c -> named_struct('d', c.k, 's', c.n, 'h', c.h)))"
-    )
-    return f"transform({found}, c -> {_placed('c.d', 'c.s', 'c.h', width, retry)})"
+def subtracted(ours: str, theirs: str) -> str:
+    """SQL: one sketch less another of the same width and salt."""
+    return f"zip_with({ours}, {theirs}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h))"
 
 
-def peeled(table: str, width: int, retry: int = 0) -> str:
-    """SQL: the number of digests that peeling recovers from a sketch, null where cells are left over."""
-    pure = _pure("t", width, retry)
+def peeled(table: str, width: str = f"{WIDTH}L", salt: str | None = None) -> str:
+    """SQL: the digests (d, s) that peeling recovers from a subtracted sketch, null where cells are left over; s is 1 for
+    a digest of the first version and -1 for one of the second."""
+    found = (
+        "array_distinct(transform(filter(t, c -> abs(c.n) = 1 and xxhash64(c.k) = c.h), c -> named_struct('d', c.k, 's', c.n, 'h', c.h)))"
+    )
+    pure = f"transform({found}, c -> named_struct('d', c.d, 's', c.s, 'h', c.h, 'c', {_places('c.d', width, salt)}))"
     stripped = (
         "transform(s.t, (c, i) -> aggregate(filter(s.p, p -> array_contains(p.c, cast(i as bigint))), c, "
         "(a, p) -> named_struct('n', a.n - p.s, 'k', a.k ^ p.d, 'h', a.h ^ p.h)))"
     )
     # a round strips what the last one found; the next finds anew
-    step = f"if(size(s.p) = 0, s, transform(array({stripped}), t -> named_struct('t', t, 'p', {pure}, 'f', s.f + size(s.p)))[0])"
-    start = f"transform(array({table}), t -> named_struct('t', t, 'p', {pure}, 'f', 0))[0]"
-    end = "if(forall(s.t, c -> c.n = 0 and c.k = 0 and c.h = 0), s.f, cast(null as int))"
-    return f"aggregate(sequence(1, {3 * width}), {start}, (s, r) -> {step}, s -> {end})"
+    gained = "concat(s.f, transform(s.p, p -> named_struct('d', p.d, 's', p.s)))"
+    step = f"if(size(s.p) = 0, s, transform(array({stripped}), t -> named_struct('t', t, 'p', {pure}, 'f', {gained}))[0])"
+    start = f"transform(array({table}), t -> named_struct('t', t, 'p', {pure}, 'f', cast(array() as {FOUND})))[0]"
+    end = f"if(forall(s.t, c -> c.n = 0 and c.k = 0 and c.h = 0), s.f, cast(null as {FOUND}))"
+    return f"aggregate(sequence(1L, 3L * {width}), {start}, (s, r) -> {step}, s -> {end})"
 
 
-def difference(ours: str, theirs: str) -> str:
-    """SQL: how many digests stand in one of two arrays only, by sketches of growing size."""
-    signed = f"concat(transform({ours}, d -> named_struct('d', d, 's', 1)), transform({theirs}, d -> named_struct('d', d, 's', -1)))"
-    # a sketch cannot give up more digests than it has cells
-    small = f"if(abs(size({ours}) - size({theirs})) > {3 * WIDTH}, cast(null as int), {peeled(cells('items', WIDTH), WIDTH)})"
-    # groups by the low bits of a digest, dealt in two steps, so that dealing stays cheap for long texts
-    bits = f"cast(greatest(0, ceil(log2(greatest(1, size(items)) / {GROUP}))) as int)"
-    half = "(b div 2)"
-    dealt = (
+def _dealt(digests: str) -> str:
+    """SQL: an array of digests as 2^bits_ arrays by their low bits, in two steps, so that dealing stays cheap for long texts."""
+    half = "(bits_ div 2)"
+    return (
         "flatten(transform("
-        f"transform(sequence(0, cast(shiftleft(1, {half}) - 1 as int)), g -> filter(items, x -> (x.d & (shiftleft(1L, {half}) - 1)) = g)), "
-        f"part -> transform(sequence(0, cast(shiftleft(1, b - {half}) - 1 as int)), "
-        f"g -> filter(part, x -> (shiftright(x.d, {half}) & (shiftleft(1L, b - {half}) - 1)) = g))))"
+        f"transform(sequence(0, cast(shiftleft(1, {half}) - 1 as int)), g_ -> filter({digests}, x -> (x & (shiftleft(1L, {half}) - 1)) = g_)), "
+        f"part -> transform(sequence(0, cast(shiftleft(1, bits_ - {half}) - 1 as int)), "
+        f"g_ -> filter(part, x -> (shiftright(x, {half}) & (shiftleft(1L, bits_ - {half}) - 1)) = g_))))"
     )
-    tries = [peeled(cells("q", w, i), w, i) for i, w in enumerate(RETRIES, 1)]
-    exact = "2 * size(array_distinct(transform(q, x -> x.d))) - size(q)"
-    grouped = f"aggregate(transform({dealt}, q -> coalesce({', '.join(tries)}, {exact})), 0, (a, x) -> a + x)"
-    larger = f"transform(array({bits}), b -> {grouped})[0]"
-    return f"transform(array({signed}), items -> coalesce({small}, {larger}))[0]"
 
 
-def likeness(ours: str, theirs: str) -> Column:
+def difference(ours: str, theirs: str, our_sketch: str | None = None, their_sketch: str | None = None) -> str:
+    """SQL: the digests (d, s) that stand in one of two arrays only, by subtracted sketches of growing size.
+
+    The fixed-size sketches of the arrays may be given where they are columns already.
+    """
+    fixed = subtracted(our_sketch or sketch(ours), their_sketch or sketch(theirs))
+    # a sketch cannot give up more digests than it has cells
+    small = f"if(abs(size({ours}) - size({theirs})) > {3 * WIDTH}, cast(null as {FOUND}), {peeled(fixed)})"
+    bits = f"cast(greatest(0, ceil(log2(greatest(1, size({ours}) + size({theirs})) / {GROUP}))) as int)"
+    block = peeled(subtracted(sketch("o", "w", "w"), sketch("q", "w", "w")), "w", "w")
+    doubling = f"coalesce(got, transform(array(shiftleft({WIDTH}L, cast(twice as int))), w -> {block})[0])"
+    until = f"aggregate(sequence(0, {DOUBLINGS}), cast(null as {FOUND}), (got, twice) -> {doubling})"
+    blocks = f"zip_with({_dealt(ours)}, {_dealt(theirs)}, (o, q) -> coalesce({until}, raise_error('a block of the sketch does not peel')))"
+    return f"coalesce({small}, transform(array({bits}), bits_ -> flatten({blocks}))[0])"
+
+
+def likeness(ours: str, theirs: str, our_sketch: str | None = None, their_sketch: str | None = None) -> Column:
     """Shared digests over all digests (0 to 1) of two array columns; 1 where both are empty."""
     both = f"size({ours}) + size({theirs})"
-    return F.expr(
-        f"transform(array({difference(ours, theirs)}), differing -> if({both} = 0, 1.0D, ({both} - differing) / cast({both} + differing as double)))[0]"
-    )
+    differing = f"size({difference(ours, theirs, our_sketch, their_sketch)})"
+    return F.expr(f"transform(array({differing}), n_ -> if({both} = 0, 1.0D, ({both} - n_) / cast({both} + n_ as double)))[0]")
 
 
-def sketch_text(column: str) -> Column:
-    """The fingerprint: number of digests, then the cells of the fixed-size sketch, in hexadecimal."""
-    items = f"transform({column}, d -> named_struct('d', d, 's', 1))"
-    return F.expr(
-        f"concat(hex(size({column})), '-', array_join(transform({cells(items, WIDTH)}, "
-        "c -> concat(hex(c.n), '.', lpad(hex(c.k), 16, '0'))), '-'))"
-    )
+def sketch_text(digests: str, cells: str) -> Column:
+    """The fingerprint: number of digests, then the cells of the fixed-size sketch with their check hashes, in hexadecimal."""
+    cell = "concat(hex(c.n), '.', lpad(hex(c.k), 16, '0'), '.', lpad(hex(c.h), 16, '0'))"
+    return F.expr(f"concat(hex(size({digests})), '-', array_join(transform({cells}, c -> {cell}), '-'))")
+
+
+def sketch_of_text(fingerprint: str) -> str:
+    """SQL: the cells that a fingerprint holds."""
+    parts = f"transform(slice(split({fingerprint}, '-'), 2, {3 * WIDTH}), c -> split(c, '[.]'))"
+    number = "cast(conv({}, 16, -10) as {})"
+    cell = f"named_struct('n', {number.format('c[0]', 'int')}, 'k', {number.format('c[1]', 'bigint')}, 'h', {number.format('c[2]', 'bigint')})"
+    return f"transform({parts}, c -> {cell})"
+
+
+def stored_difference(ours: str, theirs: str) -> Column:
+    """The paragraph digests (d, s) in which the texts of two fingerprint columns differ, from the fingerprints alone.
+
+    Null where the texts differ in more digests than sketches of the fixed size give up, or a fingerprint is null.
+    """
+    return F.expr(peeled(subtracted(sketch_of_text(f"`{ours}`"), sketch_of_text(f"`{theirs}`"))))
 
 
 def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "fingerprint") -> DataFrame:
@@ -113,7 +138,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "fingerpr
     named = {c: f"c{i}" for i, c in enumerate(df.columns)}
     keep = [c for c in df.columns if c != out_col]
     marked = df.toDF(*named.values()).withColumn("_digests", digests(F.col(named[text_col])))
-    return marked.select(*[named[c] for c in keep], sketch_text("_digests").alias("_f")).toDF(*keep, out_col)
+    return marked.select(*[named[c] for c in keep], sketch_text("_digests", sketch("_digests")).alias("_f")).toDF(*keep, out_col)
 
 
 def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -176,12 +201,13 @@ def versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
     rows = rows.select("id", n.cast("long").alias("n_chars"), edited.alias("edited"), "d", "next_d")
     rows = rows.select("id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("edited")).alias("e"), "d", "next_d")
+    rows = rows.select("*", F.expr(sketch("d")).alias("ds"), F.expr(sketch("e")).alias("es"))
     return rows.select(
         "id",
         "n_chars",
         "edited_sha256",
-        sketch_text("d").alias("fingerprint"),
-        sketch_text("e").alias("edited_fingerprint"),
-        likeness("d", "e").alias("near_edited"),
-        likeness("d", "next_d").alias("near_next"),
+        sketch_text("d", "ds").alias("fingerprint"),
+        sketch_text("e", "es").alias("edited_fingerprint"),
+        likeness("d", "e", "ds", "es").alias("near_edited"),
+        likeness("d", "next_d", "ds").alias("near_next"),
     )

@@ -56,26 +56,56 @@ def test_equal_texts_have_equal_fingerprints(hostile):
     assert prints.select("id").distinct().count() > 6
 
 
-def test_peeling_and_retries(spark):
-    """Differences from none to hundreds; every size of sketch and the last resort give the same count."""
-    rows = []
+def differing(spark):
+    """Pairs of arrays of digests, with the signed digests in which they differ."""
+    rows, names = [], iter(range(10**6))
     for shared in (0, 1, 7, 60, 500):
         for ours in (0, 1, 3, 40, 300):
             for theirs in (0, 2, 45):
-                names = iter(range(10**6))
                 common = [next(names) for _ in range(shared)]
-                a = common + [next(names) for _ in range(ours)]
-                b = common + [next(names) for _ in range(theirs)]
-                rows.append((a, b, ours + theirs))
-    frame = spark.createDataFrame(rows, "a array<long>, b array<long>, n int")
-    frame = frame.select(*[F.transform(c, lambda x: F.xxhash64(x)).alias(c) for c in ("a", "b")], "n")
-    wrong = frame.withColumn("d", F.expr(fingerprint.difference("a", "b"))).where("d <> n or d is null")
-    assert wrong.count() == 0
-    signed = "concat(transform(a, d -> named_struct('d', d, 's', 1)), transform(b, d -> named_struct('d', d, 's', -1)))"
-    first = frame.withColumn("d", F.expr(fingerprint.peeled(fingerprint.cells(signed, 4), 4)))
-    assert first.where("n <= 2 and d is null").count() <= 1
-    assert first.where("n > 100 and d is not null").count() == 0
-    assert first.where("d <> n").count() == 0
+                only = [next(names) for _ in range(ours)], [next(names) for _ in range(theirs)]
+                rows.append((common + only[0], common + only[1], *only))
+    frame = spark.createDataFrame(rows, "a array<long>, b array<long>, x array<long>, y array<long>")
+    frame = frame.select(*[F.transform(c, lambda v: F.xxhash64(v)).alias(c) for c in "abxy"])
+    signed = "array_sort(concat(transform(x, d -> named_struct('d', d, 's', 1)), transform(y, d -> named_struct('d', d, 's', -1))))"
+    return frame.withColumns({"want": F.expr(signed), "n": F.expr("size(x) + size(y)")})
+
+
+def test_peeling_recovers_the_digests(spark):
+    """Differences from none to hundreds: the digests themselves come back, whatever the size of sketch it takes."""
+    frame = differing(spark)
+    got = frame.withColumn("got", F.expr(f"array_sort({fingerprint.difference('a', 'b')})"))
+    assert got.where("got <> want or got is null").count() == 0
+    small = fingerprint.peeled(fingerprint.subtracted(fingerprint.sketch("a"), fingerprint.sketch("b")))
+    first = frame.withColumn("got", F.expr(f"array_sort({small})"))
+    assert first.where("n <= 2 and got is null").count() <= 1
+    assert first.where("n > 100 and got is not null").count() == 0
+    assert first.where("got <> want").count() == 0
+
+
+def test_a_stalled_sketch_is_rebuilt_wider(spark):
+    """At one width these digests stall; each doubling that peels gives the same digests."""
+    frame = differing(spark).where("n between 40 and 90")
+    peels = []
+    for width in (8, 16, 32, 64, 128):
+        w = f"{width}L"
+        sql = fingerprint.peeled(fingerprint.subtracted(fingerprint.sketch("a", w, w), fingerprint.sketch("b", w, w)), w, w)
+        at = frame.withColumn("got", F.expr(f"array_sort({sql})"))
+        assert at.where("got <> want").count() == 0
+        peels.append(at.where("got is not null").count())
+    assert peels[0] == 0 and peels[-1] == frame.count()
+
+
+def test_stored_fingerprints_can_be_subtracted(spark):
+    base = [f"Sentence {i}." for i in range(40)]
+    texts = [(1, " ".join(base)), (2, " ".join(base[:7] + ["Another one."] + base[8:])), (3, " ".join(f"Other {i}." for i in range(40))), (4, None)]
+    prints = fingerprint.fingerprints(spark.createDataFrame(texts, "id int, text string"))
+    digest = {p: xxhash.xxh64_intdigest(p.encode(), 42) for p in (base[7], "Another one.")}
+    signed = {p: d - 2**64 if d >= 2**63 else d for p, d in digest.items()}
+    pairs = prints.select("id", F.col("fingerprint").alias("a")).crossJoin(prints.select(F.col("id").alias("other"), F.col("fingerprint").alias("b")))
+    got = {(r["id"], r["other"]): r["d"] for r in pairs.withColumn("d", fingerprint.stored_difference("a", "b")).collect()}
+    assert {(x["d"], x["s"]) for x in got[1, 2]} == {(signed[base[7]], 1), (signed["Another one."], -1)}
+    assert got[1, 1] == [] and got[4, 4] == [] and got[1, 3] is None and got[1, 4] is None
 
 
 def test_no_python_in_the_plan(documents):
