@@ -928,6 +928,26 @@ SELECT rows, patterns, ROUND(statistic, 4) AS statistic, 1 AS degrees, CASE WHEN
  WHEN 5 THEN 'back' || chr(92) || 'slash ' || chr(92) || '"' || c_name || chr(92) ELSE '# ''plain'', text' END AS note FROM customer"""
     sql["geojson_roundtrip"] = """SELECT p_name AS nombre, CAST(p_partkey AS VARCHAR) AS codigo, p_retailprice AS area,
  CAST(p_partkey AS DOUBLE) AS lon, CAST(p_size AS DOUBLE) AS lat FROM part"""
+    plots = """WITH plots AS (
+ SELECT p_partkey, p_size, p_size + 1 + CASE WHEN p_partkey % 97 = 0 THEN 300 ELSE 0 END AS w, p_partkey % 100 * 20 AS x,
+  CAST(FLOOR(p_partkey / 100) AS BIGINT) * 20 AS y FROM part
+)"""
+    sql["shape_measures"] = plots + """, parts AS (
+ SELECT p_partkey, x, y, w, 2.5E0 * w * w AS outer_area, CASE WHEN p_size % 5 = 0 THEN w * w / 2.0E0 ELSE 0.0E0 END AS hole FROM plots
+)
+SELECT p_partkey, outer_area - hole AS area, ROUND((outer_area * (x + 11.0E0 * w / 15.0E0) - hole * (x + w / 3.0E0)) / (outer_area - hole), 4) AS cx,
+ ROUND((outer_area * (y + 13.0E0 * w / 15.0E0) - hole * (y + w / 3.0E0)) / (outer_area - hole), 4) AS cy FROM parts"""
+    sql["located_customers"] = plots + """, places AS (
+ SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey * 7919 % 2000 + 0.25E0 END AS x,
+  CAST(FLOOR(c_custkey / 75) AS BIGINT) * 20 + c_custkey * 31 % 41 + 0.5E0 AS y FROM customer
+), met AS (
+ SELECT c_custkey, p_partkey FROM (SELECT c_custkey, p_partkey, p_size, w, c.x - p.x AS dx, c.y - p.y AS dy FROM places c
+  JOIN plots p ON c.x >= p.x AND c.x <= p.x + 2 * w AND c.y >= p.y AND c.y <= p.y + 2 * w) m
+ WHERE dx - dy < w AND dx + 2 * dy < 4 * w
+  AND NOT (p_size % 5 = 0 AND dx + dy < w)
+)
+SELECT c.c_custkey, c.x, c.y, m.p_partkey, COALESCE(m.plots, 0) AS plots FROM places c
+LEFT JOIN (SELECT c_custkey, MIN(p_partkey) AS p_partkey, COUNT(*) AS plots FROM met GROUP BY c_custkey) m ON c.c_custkey = m.c_custkey"""
     sql["sample_generator"] = sample_sql()
     sql["keyed_stream"] = """SELECT user_id, COUNT(*) AS rows, COUNT(*) - COUNT(v) AS nulls, ROUND(AVG(v) + 1.0E-9, 6) AS mean, ROUND(STDDEV_SAMP(v), 6) AS std,
  ROUND(MIN(v), 6) AS low, ROUND(MAX(v), 6) AS high, STRFTIME(MIN(ts), '%Y-%m-%d %H:%M:%S') AS "first",

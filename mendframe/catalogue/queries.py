@@ -24,7 +24,7 @@ from mendframe.functions import buckets
 from mendframe.functions.columns import quoted
 from mendframe.functions.numeric import percent
 from mendframe.functions.text import title
-from mendframe.operators import boosting, clean, dependencies, duplicates, encoding, enrich, evaluate, health, intervals, missingness, models, profile, rules, sketches, splits
+from mendframe.operators import boosting, clean, dependencies, duplicates, encoding, enrich, evaluate, geometry, health, intervals, missingness, models, profile, rules, sketches, splits
 from mendframe.plans import cleaning, full_run, imputation, neighbourhoods
 from mendframe.plans.profiling import profile_table
 from mendframe.roles import PROPERTY_ROLES, PROPERTY_SCHEMA
@@ -1071,6 +1071,36 @@ def geojson_roundtrip(spark, sf_dir):
     return read.select("nombre", "codigo", F.col("`st_area(shape)`").alias("area"), *readers.first_vertex("geometry"))
 
 
+def part_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as plots in rows of a hundred: a slanted outline of their size, every fifth size with a hole, some parts much larger."""
+    wide = F.expr("p_size + 1 + if(p_partkey % 97 = 0, 300, 0)").cast("long")
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_size", wide.alias("w"), F.expr("p_partkey % 100 * 20").alias("x"), F.expr("p_partkey div 100 * 20").alias("y")
+    )
+    outline = "format_string('[[%d,%d],[%d,%d],[%d,%d],[%d,%d]]', x, y, x + w, y, x + 2 * w, y + w, x, y + 2 * w)"
+    hole = "if(p_size % 5 = 0, format_string(',[[%d,%d],[%d,%d],[%d,%d]]', x, y, x, y + w, x + w, y), '')"
+    shape = F.expr(f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {outline}, {hole}, ']}}')")
+    return rows.select("p_partkey", shape.alias("geometry"))
+
+
+@query
+def shape_measures(spark, sf_dir):
+    """Area and centroid of the plots, from their GeoJSON."""
+    shapes = part_shapes(spark, sf_dir).select("p_partkey", geometry.measures(geometry.polygons(F.col("geometry"))).alias("m"))
+    return rounded(shapes.select("p_partkey", "m.area", F.col("m.x").alias("cx"), F.col("m.y").alias("cy")), 4)
+
+
+@query
+def located_customers(spark, sf_dir):
+    """The plots that customers stand on: the one with the smallest key and how many there are; some have no place."""
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.expr("if(c_custkey % 50 = 0, null, c_custkey * 7919 % 2000 + 0.25D)").alias("x"),
+        F.expr("c_custkey div 75 * 20 + c_custkey * 31 % 41 + 0.5D").alias("y"),
+    )
+    return geometry.attach_by_location(customers, part_shapes(spark, sf_dir), "x", "y", "p_partkey", "geometry", "p_partkey", "plots")
+
+
 @query
 def metrics_roundtrip(spark, sf_dir):
     folder = scratch(spark, "metrics")
