@@ -8,15 +8,18 @@ least `threshold` with enough support are added as spans of kind "term" in every
 with the entity or without, and the sanitised text holds a general label in their place, as for the
 entity itself.
 
-Support is SUPPORT different contexts of e: its windows (WINDOW words on either side) that hold t, or its
-documents that hold t, each known by one of its windows. Copies of a context count once.
+Support is SUPPORT different contexts of e: its windows that hold t, or its documents that hold t, each known by
+one of its windows. A window is the WINDOW nearest whole words on either side that are in no span, however far or
+long they are. Copies of a context count once.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -42,7 +45,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
-REACH = 400
 
 
 def luhn(digits: str) -> bool:
@@ -95,17 +97,6 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else value if kind == 'ip' else _digits(value)}"
 
 
-def context(text: str, start: int, end: int, taken: list[tuple[int, int]], window: int = WINDOW) -> list[str]:
-    """Words around a span, lower-cased; looks REACH characters far and skips other spans."""
-    left = [m for m in _WORD.finditer(text, max(0, start - REACH), start)][-window:]
-    right = []
-    for m in _WORD.finditer(text, end, end + REACH):
-        right.append(m)
-        if len(right) == window:
-            break
-    return [m[0].lower() for m in left + right if not any(a < m.end() and m.start() < b for a, b in taken)]
-
-
 def places(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
     """All words of a text, lower-cased with their places, but for those that overlap a span."""
     spans, at = sorted(taken), 0
@@ -116,6 +107,12 @@ def places(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, int,
             yield m[0].lower(), m.start(), m.end()
 
 
+def context(words: list[tuple[str, int, int]], starts: list[int], start: int, window: int = WINDOW) -> list[str]:
+    """The words around a span, given all `places` of its text and where they start."""
+    at = bisect_left(starts, start)
+    return [w for w, _, _ in words[max(0, at - window) : at + window]]
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
@@ -146,26 +143,32 @@ def _analysed(text: str | None) -> tuple:
     text = text or ""
     spans = base_spans(text)
     taken = [(a, b) for _, a, b in spans]
-    near = []
+    found = list(places(text, taken)) if spans else []
+    starts, near = [a for _, a, _ in found], []
     for kind, a, b in spans:
-        terms = context(text, a, b, taken)
+        terms = context(found, starts, a)
         mark = xxhash.xxh64_intdigest(" ".join(terms)) - (1 << 63)
         near.append((entity(kind, text[a:b]), mark, terms))
     counts = Counter(k for k, _, _ in spans)
     digest = xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
-    words = sorted({w for w, _, _ in places(text, taken)}) if spans else []
+    words = sorted({w for w, _, _ in found})
     return (*[counts[k] for k in KINDS], joined(spans), digest, near, words)
 
 
 def _marked(terms: DataFrame):
-    """A shared bitmap of fixed size (CELLS bits) that marks the hashes of `terms`: it leaves out nearly all other words."""
+    """A shared bitmap of fixed size (CELLS bits, packed) that marks the hashes of `terms`: it leaves out nearly all other words."""
     marks = terms.select(F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(CELLS)).cast("long").alias("cell"))
     words = marks.groupBy((F.col("cell") / 62).cast("long").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell % 62 as int))")).alias("bits"))
     cells = np.zeros(CELLS + 62, dtype=bool)
     for row in words.toLocalIterator():
         for bit in range(62):
             cells[row["at"] * 62 + bit] = row["bits"] >> bit & 1
-    return terms.sparkSession.sparkContext.broadcast(np.packbits(cells))
+    return terms.sparkSession.sparkContext.broadcast(np.packbits(cells).tobytes())
+
+
+def _is_marked(bits: bytes, word: str) -> bool:
+    cell = crc32(word.encode("utf-8", "replace")) % CELLS
+    return bool(bits[cell >> 3] >> (7 - (cell & 7)) & 1)
 
 
 def _everywhere(df: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
@@ -173,27 +176,32 @@ def _everywhere(df: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     shared = _marked(terms)
 
     def find_places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from zlib import crc32
-
-        marked = np.unpackbits(shared.value)
-        known: dict[str, bool] = {}
+        bits, known = shared.value, {}
 
         def hit(word: str) -> bool:
             if word not in known:
                 if len(known) >= FLUSH:
                     known.clear()
-                known[word] = bool(marked[crc32(word.encode("utf-8", "replace")) % CELLS])
+                known[word] = _is_marked(bits, word)
             return known[word]
 
+        def gathered(rows: list[tuple[str, int, int, int]]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=["term", "start", "end", "hash"])
+
         for batch in batches:
+            rows = []
             for text in batch["text"]:
                 text = text or ""
                 if not any(hit(w) for w in {w.lower() for w in _WORD.findall(text)}):
                     continue
-                found = [p for p in places(text, [(a, b) for _, a, b in base_spans(text)]) if hit(p[0])]
-                if found:
-                    digest = xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
-                    yield pd.DataFrame(found, columns=["term", "start", "end"]).assign(hash=digest)
+                digest = xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
+                taken = [(a, b) for _, a, b in base_spans(text)]
+                rows += [(w, a, b, digest) for w, a, b in places(text, taken) if hit(w)]
+                if len(rows) >= FLUSH:
+                    yield gathered(rows)
+                    rows = []
+            if rows:
+                yield gathered(rows)
 
     found = df.select(F.col(text_col).alias("text")).mapInPandas(find_places, "term string, start long, end long, hash long")
     return found.join(terms, "term").groupBy("hash").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("added"))
@@ -207,9 +215,7 @@ def _document_counts(df: DataFrame, text_col: str, candidates: DataFrame) -> Dat
     shared = _marked(candidates)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from zlib import crc32
-
-        marked, counts = np.unpackbits(shared.value), Counter()
+        bits, counts = shared.value, Counter()
 
         def flushed() -> pd.DataFrame:
             out = pd.DataFrame({"term": list(counts), "n": list(counts.values())}).astype({"term": object, "n": "int64"})
@@ -224,7 +230,7 @@ def _document_counts(df: DataFrame, text_col: str, candidates: DataFrame) -> Dat
                     if hit is None:
                         if len(known) >= FLUSH:
                             known.clear()
-                        hit = known[word] = bool(marked[crc32(word.encode("utf-8", "replace")) % CELLS])
+                        hit = known[word] = _is_marked(bits, word)
                     if hit:
                         counts[word] += 1
                 if len(counts) >= FLUSH:
@@ -247,8 +253,10 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     """
 
     @F.pandas_udf(_ROW)
-    def analysed(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_analysed(t) for t in texts], columns=_ROW.names)
+    def analysed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            for at in range(0, len(texts), SLICE):
+                yield pd.DataFrame([_analysed(t) for t in texts.iloc[at : at + SLICE]], columns=_ROW.names)
 
     rows = stored(df.select(F.col(id_col).alias("id"), analysed(F.col(text_col)).alias("r")).select("id", "r.*"), "pii")
     total = max(1, rows.count())

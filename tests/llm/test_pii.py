@@ -1,3 +1,5 @@
+import math
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -107,3 +109,60 @@ def test_disclosing_terms_are_marked_wherever_they_stand(spark):
         named = [text[int(a) : int(b)].lower() for k, a, b in (s.split(":") for s in found[i].split(",") if s) if k == "term"]
         assert named == ["wolfsburg"] * text.lower().count("wolfsburg")
     assert "wolfsburg" not in "".join(r["text"].lower() for r in pii.sanitise(table).collect())
+
+
+def plain_terms(rows):
+    """Disclosing terms by counting sets of documents, with nothing folded, hashed or pruned."""
+    holds, held, windows = {}, {}, {}
+    for i, (_, text) in enumerate(rows):
+        text = text or ""
+        spans = plain(text)
+        words = [(m[0].lower(), m.start()) for m in re.finditer(r"[^\W\d_]+", text) if not any(a < m.end() and m.start() < b for _, a, b in spans)]
+        for m in re.finditer(r"[^\W\d_]+", text):
+            holds.setdefault(m[0].lower(), set()).add(i)
+        for kind, a, b in spans:
+            e = pii.entity(kind, text[a:b])
+            before, after = [w for w, at in words if at < a][-pii.WINDOW :], [w for w, at in words if at >= b][: pii.WINDOW]
+            near = tuple(before + after)
+            held.setdefault(e, {}).setdefault(i, {w for w, _ in words})
+            for w in near:
+                windows.setdefault((e, w), set()).add(near)
+    return holds, held, windows
+
+
+def test_terms_against_brute_force(spark):
+    rnd = random.Random(9)
+    common = [f"common{a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    rows = []
+    for i in range(400):
+        words = rnd.choices(common, k=rnd.randint(5, 60))
+        for who in range(12):
+            if rnd.random() < 0.04:
+                words.insert(rnd.randrange(len(words)), f"user{who}@site.example")
+                if rnd.random() < 0.95:  # a secret of this person, near or far
+                    words.insert(rnd.randrange(len(words)), f"Secret{chr(97 + who)}" + "x" * 600 * (who == 3))
+            elif rnd.random() < 0.004:
+                words.append(f"secret{chr(97 + who)}")
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, rows[i % 7][1]) for i in range(30)] + [(2000, None), (2001, "")]
+    total, (holds, held, windows) = len(rows), plain_terms(rows)
+    telling = set()
+    for e, texts in held.items():
+        for t in set().union(*texts.values()):
+            both = [i for i, words in texts.items() if t in words]
+            score = math.log(len(both) * total / (len(texts) * len(holds[t]))) / -math.log(len(texts) / total)
+            if score >= pii.THRESHOLD and max(len(windows.get((e, t), ())), len({rows[i][1] for i in both})) >= pii.SUPPORT:
+                telling.add(t)
+    assert len(telling) > 5 and any(len(t) > 600 for t in telling)
+    found = {r["id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        named = [(text or "")[int(a) : int(b)].lower() for k, a, b in (s.split(":") for s in found[i].split(",") if s) if k == "term"]
+        words = [m[0].lower() for m in re.finditer(r"[^\W\d_]+", text or "")]
+        assert named == [w for w in words if w in telling], i
+
+
+def test_windows_take_whole_words_however_long():
+    """Two words of hundreds of letters, and a wide gap, do not cut a context."""
+    text = "a" * 300 + " " + "b" * 500 + " " * 900 + "jane@corp.example, x@y.z " + "c" * 700 + " d"
+    _, _, _, _, _, _, near, _ = pii._analysed(text)
+    assert [n[2] for n in near] == [["a" * 300, "b" * 500, "c" * 700, "d"]] * 2
