@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mendframe.functions.columns import quoted
+from mendframe.session import materialized
 
 POLYGON = "array<array<array<double>>>"
-#: Hot cells are dealt over so many tasks; every shape has as many copies of its at most four cells.
-SALTS = 8
+#: A cell with more places than this is dealt over parts of about so many; only shapes in such cells are copied to the parts.
+HOT_CELL = 10000
 #: Cells have an edge of 2^level; shapes beyond these sizes use the last level.
 LEVELS = (-40, 60)
 
@@ -101,13 +102,15 @@ def _level(width: Column) -> Column:
 
 
 def attach_by_location(
-    points: DataFrame, shapes: DataFrame, x: str, y: str, shape_id: str, geometry: str, out: str = "shape", matches: str = "shapes"
+    points: DataFrame, shapes: DataFrame, x: str, y: str, shape_id: str, geometry: str, out: str = "shape", matches: str = "shapes",
+    hot_cell: int = HOT_CELL,
 ) -> DataFrame:
     """`points` with the smallest id of the shapes that contain each, and how many shapes do (`out`, `matches`).
 
     A shape is indexed by the cells of a grid whose edge is the power of two next to its own size, so it
     has about four cells whether it is a house or a country; a point has one cell for each grid in use. Points meet
-    shapes by equal cells, salted, and only then is the shape looked at. Equal points are one until the end. Rows without
+    shapes by equal cells, those with more than `hot_cell` places in parts; then the shape's box is compared, and only then
+    is the shape looked at. Equal points are one until the end. Rows without
     coordinates, NaN among them, lie in no shape; shapes without an id or with unreadable geometry are left out; several rows
     of one id are one shape for `out` and each count for `matches`. The driver sees the levels in use, 101 at most.
     """
@@ -117,18 +120,28 @@ def attach_by_location(
         "id", "shape", *[f(c).alias(f"{n}_{c}") for c in ("xs", "ys") for n, f in (("low", F.array_min), ("high", F.array_max))]
     )
     box = box.withColumn("level", _level(F.greatest(F.col("high_xs") - F.col("low_xs"), F.col("high_ys") - F.col("low_ys"))))
+    box = materialized(box, "shapes")  # the text is parsed once, for the levels and for the cells
     levels = sorted(r["level"] for r in box.select("level").distinct().collect())
     cell = lambda c, level: F.floor(c / F.pow(F.lit(2.0), level))
     spans = [F.explode(F.sequence(cell(F.col(f"low_{c}"), F.col("level")), cell(F.col(f"high_{c}"), F.col("level")))) for c in ("xs", "ys")]
-    cells = box.withColumn("cx", spans[0]).withColumn("cy", spans[1])
-    cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select("id", "shape", "level", "cx", "cy", "salt")
+    # a filter on the box leaves a few candidates of the many shapes that share a cell with a point
+    bounds = ["low_xs", "high_xs", "low_ys", "high_ys"]
+    cells = box.withColumn("cx", spans[0]).withColumn("cy", spans[1]).select("id", "shape", "level", "cx", "cy", *bounds)
     # -0.0 and 0.0 are one coordinate for joins and groups alike
     px, py = (quoted(c).cast("double") + F.lit(0.0) for c in (x, y))
     places = points.select(px.alias("px"), py.alias("py")).where("px is not null and py is not null and not isnan(px) and not isnan(py)").distinct()
-    places = places.withColumn("salt", F.pmod(F.xxhash64("px", "py"), F.lit(SALTS)).cast("int"))
     wanted = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")
     places = places.withColumn("level", F.explode(wanted)).withColumns({"cx": cell(F.col("px"), F.col("level")), "cy": cell(F.col("py"), F.col("level"))})
-    found = places.join(cells, ["level", "cx", "cy", "salt"]).where(contains(F.col("shape"), F.col("px"), F.col("py")))
+    hot = places.groupBy("level", "cx", "cy").agg(F.count("*").alias("n")).where(F.col("n") > hot_cell)
+    parts = hot.select("level", "cx", "cy", F.ceil(F.col("n") / hot_cell).cast("int").alias("parts"))
+    # fewer rows than places / hot_cell per level, so they are sent to all tasks; shapes, grown by their cells, never are
+    part = F.coalesce(F.pmod(F.xxhash64("px", "py"), F.col("parts")), F.lit(0)).cast("int")
+    places = places.join(F.broadcast(parts), ["level", "cx", "cy"], "left").withColumn("part", part).drop("parts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1))
+    cells = cells.join(F.broadcast(parts), ["level", "cx", "cy"], "left").withColumn("part", copies).drop("parts")
+    met = places.join(cells.hint("merge"), ["level", "cx", "cy", "part"])
+    boxed = F.col("px").between(F.col("low_xs"), F.col("high_xs")) & F.col("py").between(F.col("low_ys"), F.col("high_ys"))
+    found = met.where(boxed).where(contains(F.col("shape"), F.col("px"), F.col("py")))
     found = found.groupBy("px", "py").agg(F.min("id").alias("_id"), F.count("*").alias("_n"))
     kept = [c for c in points.columns if c not in (out, matches)]
     named = {c: f"c{i}" for i, c in enumerate(kept)}

@@ -79,6 +79,19 @@ def test_shared_borders_and_empty_tables(spark):
     assert geometry.attach_by_location(grid.limit(0), shapes, "x", "y", "k", "g").count() == 0
 
 
+def test_shapes_are_never_broadcast_and_hot_cells_are_dealt(spark):
+    """A small table of shapes grows by its cells and is not sent to every task; parts of a hot cell change nothing."""
+    shapes = spark.createDataFrame([(k, text([[[[0, 0], [4 + k, 0], [4 + k, 4], [0, 4]]]])) for k in range(4)], "k int, g string")
+    points = spark.range(300).selectExpr("id % 25 * 0.25D AS x", "id div 25 * 0.5D AS y")
+    found = geometry.attach_by_location(points, shapes, "x", "y", "k", "g", hot_cell=10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [level" in plan
+    assert found.count() == 300
+    for r in found.collect():
+        hits = [k for k in range(4) if r["x"] < 4 + k and r["y"] < 4]
+        assert (r["shape"], r["shapes"]) == (min(hits, default=None), len(hits))
+
+
 @pytest.mark.parametrize("name", ["shape_measures", "located_customers"])
 def test_queries_equal_their_sql(spark, name):
     """The SQL of both is plain enough to run in Spark too."""
