@@ -3,6 +3,7 @@ import time
 from datetime import datetime, timedelta
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +93,17 @@ def test_absorb_merges_moments():
     series = pd.Series([1.0, 2.0, 1e9, 1e9 + 1, 5.0])
     assert held[1:3] == (6, 5) and held[3] == pytest.approx(series.mean()) and held[5:] == (1.0, 1e9 + 1, 7, 7)
     assert math.sqrt(held[4] / 4) == pytest.approx(series.std())
+
+
+def test_rows_of_a_batch_are_combined_before_they_reach_state():
+    """One partial per key of a batch; only a frequent key is dealt over its parts."""
+    rows = [("a", i % 3, float(i), i) for i in range(30)] + [("b", 1, 1e9, 5), ("b", 2, 1e9 + 1, None), (None, 2, None, 7), ("b", 0, None, 3)]
+    schema = pa.schema([("_k0", pa.string()), ("part", pa.int32()), ("x", pa.float64()), ("t", pa.int64())])
+    batch = pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
+    found = {(r["_k0"], r["part"]): r for made in keyed.combine(batch, ["_k0"]) for r in made.to_pylist()}
+    assert set(found) == {("a", 0), ("a", 1), ("a", 2), ("b", 0), (None, 0)}
+    assert sum(r["rows"] for r in found.values()) == len(rows)
+    b, none = found["b", 0], found[None, 0]
+    assert (b["rows"], b["n"], b["mean"], b["m2"], b["low"], b["high"], b["first"], b["last"]) == (3, 2, 1e9 + 0.5, 0.5, 1e9, 1e9 + 1, 3, 5)
+    assert (none["rows"], none["n"], none["mean"], none["first"], none["last"]) == (1, 0, None, 7, 7)
+    assert keyed.combine(batch.slice(0, 0), ["_k0"]) == []
