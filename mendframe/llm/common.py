@@ -3,36 +3,17 @@
 from __future__ import annotations
 
 import math
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import mendframe
-from mendframe.session import materialized
+from mendframe.session import materialized, ship  # noqa: F401
 
 NULL_KEY = 2**63 - 1
 CHUNK = 1 << 20
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per application, unless their path has it already."""
-    context, root = spark.sparkContext, Path(mendframe.__file__).resolve().parent.parent
-    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _SHIPPED:
-        return
-    archive = Path(tempfile.mkdtemp(prefix="mendframe-package-")) / "mendframe.zip"
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
-        for source in sorted((root / "mendframe").rglob("*.py")):
-            file.write(source, source.relative_to(root))
-    context.addPyFile(str(archive))
-    _SHIPPED.add(context.applicationId)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
